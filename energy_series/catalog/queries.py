@@ -33,34 +33,38 @@ def _rounded(df: DataFrame, *cols: str, digits: int = 9) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
+def _ev(spark, sf_dir) -> DataFrame:
+    return v.site_events(spark, sf_dir)
+
+
 # --- quarter-hour series ------------------------------------------------------
 
 
 @query
 def mains_15min(spark, sf_dir):
-    return quarter.mains_quarters(v.mains(spark, sf_dir))
+    return quarter.mains_quarters(v.mains(_ev(spark, sf_dir)))
 
 
 @query
 def mains_hourly(spark, sf_dir):
-    return quarter.mains_quarters(v.mains(spark, sf_dir), "h")
+    return quarter.mains_quarters(v.mains(_ev(spark, sf_dir)), "h")
 
 
 @query
 def mains_daily(spark, sf_dir):
-    quarters = quarter.mains_wh(v.mains(spark, sf_dir, ["imp"]), cols=["imp"])
+    quarters = quarter.mains_wh(v.mains(_ev(spark, sf_dir), ["imp"]), cols=["imp"])
     return grid.resample(quarters, "d", sums=["imp"]).withColumn("imp", e.kwh("imp"))
 
 
 @query
 def mains_monthly_complete(spark, sf_dir):
-    return quarter.mains_quarters(v.mains(spark, sf_dir), "month", holes=False)
+    return quarter.mains_quarters(v.mains(_ev(spark, sf_dir)), "month", holes=False)
 
 
 @query
 def mains_holes(spark, sf_dir):
     """Every 11th import reading is missing."""
-    readings = v.mains(spark, sf_dir, ["imp", "exp"])
+    readings = v.mains(_ev(spark, sf_dir), ["imp", "exp"])
     second = t.epoch_seconds(TS)
     holed = readings.withColumn("imp", F.when(second % 11 != 0, F.col("imp")))
     return quarter.mains_quarters(holed, cols=["imp", "exp"])
@@ -68,28 +72,28 @@ def mains_holes(spark, sf_dir):
 
 @query
 def production_hourly(spark, sf_dir):
-    return quarter.production_quarters(v.production(spark, sf_dir), "h")
+    return quarter.production_quarters(v.production(_ev(spark, sf_dir)), "h")
 
 
 @query
 def battery_15min(spark, sf_dir):
-    return _rounded(quarter.battery_quarters(v.battery(spark, sf_dir)), "soc")
+    return _rounded(quarter.battery_quarters(v.battery(_ev(spark, sf_dir))), "soc")
 
 
 @query
 def battery_soc_daily(spark, sf_dir):
-    return _rounded(quarter.battery_mean_of_means(v.battery(spark, sf_dir), "d"), "soc")
+    return _rounded(quarter.battery_mean_of_means(v.battery(_ev(spark, sf_dir)), "d"), "soc")
 
 
 @query
 def prices_ffill(spark, sf_dir):
-    return quarter.price_quarters(v.prices(spark, sf_dir))
+    return quarter.price_quarters(v.prices(_ev(spark, sf_dir)))
 
 
 @query
 def prices_raw_fill(spark, sf_dir):
     """Fill without resampling; prices of hours divisible by 5 are missing."""
-    p = v.prices(spark, sf_dir)
+    p = v.prices(_ev(spark, sf_dir))
     holed = p.withColumn("price", F.when(F.hour(TS) % 5 != 0, F.col("price")))
     return quarter.price_quarters(holed, "")
 
@@ -157,7 +161,7 @@ def monthly_report(spark, sf_dir):
 
 @query
 def tick_labels(spark, sf_dir):
-    hours = quarter.production_wh(v.production(spark, sf_dir), "h")
+    hours = quarter.production_wh(v.production(_ev(spark, sf_dir)), "h")
     return shape.tick_labels(hours, trend.PRESETS["hours"][3])
 
 
@@ -167,31 +171,31 @@ def tick_labels(spark, sf_dir):
 @query
 def price_day_statistics(spark, sf_dir):
     return _rounded(
-        prices.daily_statistics(v.prices(spark, sf_dir)), "mean_price", "median_price"
+        prices.daily_statistics(v.prices(_ev(spark, sf_dir))), "mean_price", "median_price"
     )
 
 
 @query
 def price_bands_mean(spark, sf_dir):
-    return prices.price_bands(v.prices(spark, sf_dir), BANDS_AS_OF)
+    return prices.price_bands(v.prices(_ev(spark, sf_dir)), BANDS_AS_OF)
 
 
 @query
 def price_bands_median(spark, sf_dir):
-    return prices.price_bands(v.prices(spark, sf_dir), BANDS_AS_OF, median=True)
+    return prices.price_bands(v.prices(_ev(spark, sf_dir)), BANDS_AS_OF, median=True)
 
 
 @query
 def price_bands_minimum(spark, sf_dir):
     return prices.price_bands(
-        v.prices(spark, sf_dir), BANDS_AS_OF, lowq=30, highq=70, median=True, minimum=True
+        v.prices(_ev(spark, sf_dir)), BANDS_AS_OF, lowq=30, highq=70, median=True, minimum=True
     )
 
 
 @query
 def price_bands_two_days(spark, sf_dir):
     as_of = dt.datetime.fromisoformat(BANDS_AS_OF)
-    return bands.price_window(v.prices(spark, sf_dir), as_of)
+    return bands.price_window(v.prices(_ev(spark, sf_dir)), as_of)
 
 
 # --- scans and ranges -----------------------------------------------------------
@@ -204,7 +208,7 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 @query
 def window_scan(spark, sf_dir):
-    return tables.window_scan(v.site_events(spark, sf_dir), "2024-01-20 12:00:00", 48)
+    return tables.window_scan(_ev(spark, sf_dir), "2024-01-20 12:00:00", 48)
 
 
 @query
@@ -244,7 +248,7 @@ def numeric_coerce(spark, sf_dir):
 
 @query
 def future_filter(spark, sf_dir):
-    ev = v.site_events(spark, sf_dir).withColumn("sample_epoch", t.epoch_seconds(TS))
+    ev = _ev(spark, sf_dir).withColumn("sample_epoch", t.epoch_seconds(TS))
     return ingest.not_in_future(ev, "2024-01-20 12:00:00")
 
 
@@ -253,8 +257,8 @@ def future_filter(spark, sf_dir):
 
 @query
 def timeline(spark, sf_dir):
-    newest = gaps.latest_point(v.site_events(spark, sf_dir))
-    return grid.timeline(newest, F.col("latest"), 2, "day")
+    newest = gaps.latest_point(_ev(spark, sf_dir))
+    return grid.timeline(newest, 2, "day")
 
 
 @query
@@ -278,14 +282,14 @@ def interp_counter(spark, sf_dir):
 
 @query
 def label_delta(spark, sf_dir):
-    m = v.mains(spark, sf_dir, ["imp"])
+    m = v.mains(_ev(spark, sf_dir), ["imp"])
     return counters.label_delta(m, "imp", t.strftime(TS, "%m-%d %Hh"))
 
 
 @query
 def label_sum(spark, sf_dir):
     label = t.strftime(TS, "%Y-%m-%d")
-    return counters.label_sum(v.production(spark, sf_dir), "solar", label)
+    return counters.label_sum(v.production(_ev(spark, sf_dir)), "solar", label)
 
 
 @query
@@ -309,7 +313,7 @@ def historic_year(spark, sf_dir):
 
 @query
 def tail_periods(spark, sf_dir):
-    hours = quarter.production_wh(v.production(spark, sf_dir), "h")
+    hours = quarter.production_wh(v.production(_ev(spark, sf_dir)), "h")
     return shape.tail(hours, 50)
 
 
@@ -406,13 +410,13 @@ def year_month_matrix(spark, sf_dir):
 
 @query
 def meter_translate(spark, sf_dir):
-    rows = ingest.translate_meter(v.meter_telegrams(v.site_events(spark, sf_dir)))
+    rows = ingest.translate_meter(v.meter_telegrams(_ev(spark, sf_dir)))
     return rows.withColumns({c: F.col(c).cast("double") for c in (*COUNTERS, "v1", "frq")})
 
 
 @query
 def carry_last_known(spark, sf_dir):
-    readings = v.site_events(spark, sf_dir).select(
+    readings = _ev(spark, sf_dir).select(
         "site_id",
         TS,
         F.when(F.col("kind") == "click", F.col("wh")).cast("double").alias("click"),
@@ -423,22 +427,22 @@ def carry_last_known(spark, sf_dir):
 
 @query
 def battery_translate(spark, sf_dir):
-    return ingest.translate_battery(v.battery_telegrams(v.site_events(spark, sf_dir)))
+    return ingest.translate_battery(v.battery_telegrams(_ev(spark, sf_dir)))
 
 
 @query
 def compact_meter(spark, sf_dir):
-    return ingest.compact_meter(v.meter_samples(v.site_events(spark, sf_dir)))
+    return ingest.compact_meter(v.meter_samples(_ev(spark, sf_dir)))
 
 
 @query
 def compact_battery(spark, sf_dir):
-    return _rounded(ingest.compact_battery(v.battery(spark, sf_dir)), "soc", "soh")
+    return _rounded(ingest.compact_battery(v.battery(_ev(spark, sf_dir))), "soc", "soh")
 
 
 @query
 def compaction_remainder(spark, sf_dir):
-    return ingest.compaction_remainder(v.meter_samples(v.site_events(spark, sf_dir)))
+    return ingest.compaction_remainder(v.meter_samples(_ev(spark, sf_dir)))
 
 
 @query
@@ -458,12 +462,12 @@ def solar_json_rows(spark, sf_dir):
 
 @query
 def charger_units(spark, sf_dir):
-    return payloads.charger_rows(v.charger_totals(v.site_events(spark, sf_dir)))
+    return payloads.charger_rows(v.charger_totals(_ev(spark, sf_dir)))
 
 
 @query
 def upsert_last_wins(spark, sf_dir):
-    writes = v.site_events(spark, sf_dir).select(
+    writes = _ev(spark, sf_dir).select(
         "site_id", t.bucket_start(TS, "15min").alias(TS), "kind", "wh", F.col("id").alias("seq")
     )
     return tables.last_write_wins(writes, "seq")
@@ -488,12 +492,12 @@ def stream_compact(spark, sf_dir):
 
 @query
 def latest_point(spark, sf_dir):
-    return gaps.latest_point(v.site_events(spark, sf_dir))
+    return gaps.latest_point(_ev(spark, sf_dir))
 
 
 @query
 def gap_islands(spark, sf_dir):
-    return gaps.gaps(v.site_events(spark, sf_dir))
+    return gaps.gaps(_ev(spark, sf_dir))
 
 
 @query

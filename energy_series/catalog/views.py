@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..columns import TS
+from ..columns import COUNTERS, TS
 from ..functions import energy as e
 from ..functions import time as t
 from ..operators.ordered import running_total
@@ -58,38 +58,33 @@ def mains_increments(events: DataFrame) -> DataFrame:
     )
 
 
-def mains(spark: SparkSession, sf_dir: str, cols=("exp", "imp", "gen", "gep", "evn", "evp")):
+def mains(events: DataFrame, cols=COUNTERS) -> DataFrame:
     """Cumulative meters; only the counters in ``cols`` are accumulated."""
-    increments = mains_increments(site_events(spark, sf_dir)).select("site_id", TS, *cols)
-    return running_total(increments, cols)
+    return running_total(mains_increments(events).select("site_id", TS, *cols), cols)
 
 
-def production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = site_events(spark, sf_dir).where("kind = 'view'")
+def production(events: DataFrame) -> DataFrame:
+    ev = events.where("kind = 'view'")
     return ev.select("site_id", TS, (F.col("wh") * (1 + F.col("id") % 2)).alias("solar"))
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prices(events: DataFrame) -> DataFrame:
     """One price per quarter hour that has an event."""
-    slots = site_events(spark, sf_dir).groupBy(t.bucket_start(TS, "15min").alias(TS))
+    slots = events.groupBy(t.bucket_start(TS, "15min").alias(TS))
     price = (F.max("value") / 1000).cast("decimal(9,5)").cast("double")
     return slots.agg(price.alias("price")).select(F.lit(MARKET_ID).alias("market_id"), TS, "price")
 
 
-def battery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = site_events(spark, sf_dir).where("kind = 'error'")
+def battery(events: DataFrame) -> DataFrame:
+    ev = events.where("kind = 'error'")
     return ev.select(
         "site_id", TS, F.least("wh", F.lit(10000)).alias("soc"), F.lit(1000).alias("soh")
     )
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(
-        mains(spark, sf_dir),
-        production(spark, sf_dir),
-        prices(spark, sf_dir),
-        battery(spark, sf_dir),
-    )
+    ev = site_events(spark, sf_dir)
+    return Tables(mains(ev), production(ev), prices(ev), battery(ev))
 
 
 def meter_telegrams(events: DataFrame) -> DataFrame:
@@ -179,7 +174,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     has no tomorrow branch, and the first slot of an hour with a price that ends in
     3 has unreadable text instead of a number.
     """
-    p = prices(spark, sf_dir)
+    p = prices(site_events(spark, sf_dir))
     broken = (F.minute(TS) == 0) & (F.round(F.col("price") * 100000).cast("bigint") % 10 == 3)
     stamp = F.concat(t.strftime(TS, "%Y-%m-%dT%H:%M:%S"), F.lit(".000+01:00"))
     item = F.struct(
@@ -200,7 +195,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def solar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Solar responses as text, one per site and quarter hour of samples."""
-    p = production(spark, sf_dir)
+    p = production(site_events(spark, sf_dir))
     slot = t.bucket_start(TS, "15min")
     value = F.when(F.sum("solar") % 5 != 0, F.sum("solar") + 0.75)
     slots = p.groupBy("site_id", slot.alias(TS)).agg(value.alias("value"))

@@ -3,6 +3,9 @@
 Every expression here works on ``TIMESTAMP_NTZ`` and is plain interval
 arithmetic, so results do not depend on the session time zone and a day with 92
 or 100 quarter hours is just a day with fewer or more slots.
+
+Arguments called ``ts``, ``epoch`` or ``x`` are SQL: a column name or an
+expression such as ``"sample_time - INTERVAL '5' SECOND"``.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ TIMEFRAME_SECONDS = {
 }
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+MICROSECOND = "INTERVAL '0.000001' SECOND"
 
 
 def rule_name(rule: str) -> str:
@@ -46,119 +50,104 @@ def rule_name(rule: str) -> str:
     return name
 
 
-def step(rule: str) -> Column:
-    """Interval literal between two consecutive buckets of ``rule``."""
-    return F.expr(STEPS[rule_name(rule)])
-
-
-def _column(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def step(rule: str) -> str:
+    """SQL interval between two consecutive buckets of ``rule``."""
+    return STEPS[rule_name(rule)]
 
 
-def wall(value: dt.datetime | dt.date | str | Column) -> Column:
-    """Literal wall-clock timestamp; columns pass through."""
-    if isinstance(value, Column):
-        return value
+def wall(value: dt.datetime | dt.date | str) -> str:
+    """SQL literal of a wall-clock time."""
     if isinstance(value, dt.datetime):
         value = value.replace(tzinfo=None).isoformat(sep=" ")
     elif isinstance(value, dt.date):
         value = f"{value.isoformat()} 00:00:00"
     if not re.fullmatch(r"[0-9T:. -]+", value):
         raise ValueError(f"not a timestamp: {value!r}")
-    return F.expr(f"TIMESTAMP_NTZ'{value}'")
+    return f"TIMESTAMP_NTZ'{value}'"
 
 
-def epoch_seconds(ts: Column | str) -> Column:
+def epoch_seconds(ts: str) -> Column:
     """Wall clock read as if it were UTC, in whole seconds."""
-    return F.call_function("div", _column(ts) - F.expr(_EPOCH), F.expr("INTERVAL '1' SECOND"))
+    return F.expr(f"(({ts}) - {_EPOCH}) DIV INTERVAL '1' SECOND")
 
 
-def from_epoch(seconds: Column | str) -> Column:
-    return F.expr(_EPOCH) + _column(seconds) * F.expr("INTERVAL '1' SECOND")
+def from_epoch(epoch: str) -> Column:
+    return F.expr(f"{_EPOCH} + ({epoch}) * INTERVAL '1' SECOND")
 
 
-def wall_to_instant(ts: Column | str) -> Column:
+def wall_to_instant(ts: str) -> Column:
     """``TIMESTAMP_NTZ`` to ``TIMESTAMP``, wall clock kept as UTC (watermarks need it)."""
-    micros = F.call_function(
-        "div", _column(ts) - F.expr(_EPOCH), F.expr("INTERVAL '0.000001' SECOND")
-    )
-    return F.timestamp_micros(micros)
+    return F.expr(f"timestamp_micros((({ts}) - {_EPOCH}) DIV {MICROSECOND})")
 
 
-def instant_to_wall(ts: Column | str) -> Column:
-    return F.expr(_EPOCH) + F.unix_micros(_column(ts)) * F.expr("INTERVAL '0.000001' SECOND")
+def instant_to_wall(ts: str) -> Column:
+    return F.expr(f"{_EPOCH} + unix_micros({ts}) * {MICROSECOND}")
 
 
-def bucket_start(ts: Column | str, rule: str) -> Column:
+def bucket_start(ts: str, rule: str) -> Column:
     """First instant of the left-closed bucket that holds ``ts``."""
-    col, rule = _column(ts), rule_name(rule)
+    rule = rule_name(rule)
     if rule == "d":
-        return col.cast("date").cast("timestamp_ntz")
-    if rule == "month":
-        return F.trunc(col.cast("date"), "MM").cast("timestamp_ntz")
-    if rule == "year":
-        return F.trunc(col.cast("date"), "YEAR").cast("timestamp_ntz")
-    width = F.expr(STEPS[rule])
-    return F.expr(_EPOCH) + F.call_function("div", col - F.expr(_EPOCH), width) * width
+        return F.expr(f"CAST(CAST({ts} AS DATE) AS TIMESTAMP_NTZ)")
+    if rule in ("month", "year"):
+        return F.expr(f"CAST(trunc(CAST({ts} AS DATE), '{rule}') AS TIMESTAMP_NTZ)")
+    width = STEPS[rule]
+    return F.expr(f"{_EPOCH} + ((({ts}) - {_EPOCH}) DIV {width}) * {width}")
 
 
-def bucket_label(start: Column | str, rule: str) -> Column:
+def bucket_label(start: str, rule: str) -> Column:
     """Label of a bucket: its start, but the last day for months and years."""
-    col, rule = _column(start), rule_name(rule)
+    rule = rule_name(rule)
     if rule == "month":
-        return F.last_day(col.cast("date")).cast("timestamp_ntz")
+        return F.expr(f"CAST(last_day(CAST({start} AS DATE)) AS TIMESTAMP_NTZ)")
     if rule == "year":
-        return F.make_date(F.year(col), F.lit(12), F.lit(31)).cast("timestamp_ntz")
-    return col
+        return F.expr(f"CAST(make_date(year({start}), 12, 31) AS TIMESTAMP_NTZ)")
+    return F.expr(start)
 
 
 # Position and length of each part in 'yyyy-MM-dd HH:mm:ss'.
 _PARTS = {"Y": (1, 4), "m": (6, 2), "d": (9, 2), "H": (12, 2), "M": (15, 2), "S": (18, 2)}
 
 
-def strftime(ts: Column | str, fmt: str) -> Column:
+def strftime(ts: str, fmt: str) -> Column:
     """Format a wall-clock timestamp with ``%Y %m %d %H %M %S`` and literal text."""
-    text = _column(ts).cast("string")
     pieces = []
     for directive, literal in re.findall(r"%(.)|([^%]+)", fmt):
-        if literal:
-            pieces.append(F.lit(literal))
-        elif directive == "%":
-            pieces.append(F.lit("%"))
-        elif directive in _PARTS:
-            pieces.append(F.substring(text, *_PARTS[directive]))
+        if directive in _PARTS:
+            start, length = _PARTS[directive]
+            pieces.append(F.expr(f"substring(CAST({ts} AS STRING), {start}, {length})"))
+        elif literal or directive == "%":
+            pieces.append(F.lit(literal or "%"))
         else:
             raise ValueError(f"unsupported format directive %{directive}")
     return F.concat(*pieces)
 
 
-def parse_wall(text: Column | str) -> Column:
+def parse_wall(text: str) -> Column:
     """Timestamp text cut after the seconds; NULL when it does not parse.
 
     Fractions and zone offsets are dropped, so the wall clock stays as written.
     """
-    cut = F.substring(_column(text), 1, 19)
-    return F.when(F.length(cut) == 19, cut.try_cast("timestamp_ntz"))
+    cut = f"left({text}, 19)"
+    return F.expr(f"CASE WHEN length({cut}) = 19 THEN try_cast({cut} AS TIMESTAMP_NTZ) END")
 
 
-def quarter_ceil(epoch: Column | str) -> Column:
+def quarter_ceil(epoch: str) -> Column:
     """Next quarter hour in epoch seconds; a value on the boundary stays."""
-    col = _column(epoch)
-    return col + F.pmod(-col, F.lit(QUARTER_SECONDS))
+    return F.expr(f"({epoch}) + pmod(-({epoch}), {QUARTER_SECONDS})")
 
 
-def quarter_end(epoch: Column | str, early: int | float) -> Column:
+def quarter_end(epoch: str, early: int | float) -> Column:
     """End of the running quarter hour, ``early`` seconds before it."""
     return quarter_ceil(epoch) - F.lit(early)
 
 
-def floor_to_step(epoch: Column | str, seconds: int = QUARTER_SECONDS) -> Column:
-    return F.floor(_column(epoch) / seconds) * seconds
+def floor_to_step(epoch: str, seconds: int = QUARTER_SECONDS) -> Column:
+    return F.expr(f"floor(({epoch}) / {int(seconds)}) * {int(seconds)}")
 
 
-def periods_before(as_of, periods: int, timeframe: str) -> Column:
+def periods_before(as_of, periods: int, timeframe: str) -> str:
     """``as_of`` moved back by calendar periods; month ends clamp to the shorter month."""
     if timeframe not in TIMEFRAME_SECONDS:
         raise ValueError(f"unknown timeframe {timeframe!r}")
-    unit = {"hour": "HOUR", "day": "DAY", "month": "MONTH", "year": "YEAR"}[timeframe]
-    return wall(as_of) - F.expr(f"INTERVAL '{int(periods)}' {unit}")
+    return f"{wall(as_of)} - INTERVAL '{int(periods)}' {timeframe.upper()}"

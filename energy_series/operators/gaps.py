@@ -29,14 +29,11 @@ def gaps(df: DataFrame, rule: str = "15min", keys: Sequence[str] = KEYS, ts: str
         F.min(ts).alias("_from"), F.max(ts).alias("gap_start")
     )
     ordered = Window.partitionBy(*keys).orderBy("_cell")
-    wide = F.col("gap_end") - F.col("gap_start")
+    wide = "(gap_end - gap_start)"
     return (
         cells.select(*keys, "gap_start", F.lead("_from").over(ordered).alias("gap_end"))
-        .where(wide > t.step(rule))
-        .withColumn(
-            "missing",
-            F.call_function("div", wide - F.expr("INTERVAL '0.000001' SECOND"), t.step(rule)),
-        )
+        .where(f"{wide} > {t.step(rule)}")
+        .withColumn("missing", F.expr(f"({wide} - {t.MICROSECOND}) DIV {t.step(rule)}"))
     )
 
 
@@ -54,24 +51,18 @@ def backfill_plan(
     starts one more day after that point, but never after ``as_of``. A request
     covers whole days, from the day of ``start - lookback`` to the day after ``start``.
     """
-    now = t.wall(as_of)
-    days_over = F.datediff(F.col("gap_end").cast("date"), F.col("gap_start").cast("date"))
+    hops = "greatest(datediff(CAST(gap_end AS DATE), CAST(gap_start AS DATE)) - 1, 0)"
     attempts = holes.select(
-        *keys,
-        "gap_start",
-        "gap_end",
-        F.explode(F.sequence(F.lit(0), F.greatest(days_over - 1, F.lit(0)))).alias("attempt"),
+        *keys, "gap_start", "gap_end", F.expr(f"explode(sequence(0, {hops}))").alias("attempt")
     )
-    start = F.least(F.col("gap_start") + F.make_dt_interval(days=F.col("attempt")), now)
-    lookback = F.when(
-        F.col("attempt") == 0, F.make_dt_interval(hours=F.lit(first_lookback_hours))
-    ).otherwise(F.make_dt_interval(hours=F.lit(next_lookback_hours)))
-    return attempts.withColumn("start_at", start).select(
+    start = f"least(gap_start + make_dt_interval(attempt), {t.wall(as_of)})"
+    lookback = f"IF(attempt = 0, {int(first_lookback_hours)}, {int(next_lookback_hours)})"
+    return attempts.withColumn("start_at", F.expr(start)).select(
         *keys,
         "gap_start",
         "gap_end",
         "attempt",
         "start_at",
-        t.bucket_start(F.col("start_at") - lookback, "d").alias("request_from"),
-        t.bucket_start(F.col("start_at") + t.step("d"), "d").alias("request_to"),
+        t.bucket_start(f"start_at - make_dt_interval(0, {lookback})", "d").alias("request_from"),
+        t.bucket_start(f"start_at + {t.step('d')}", "d").alias("request_to"),
     )

@@ -47,9 +47,10 @@ def densify(
         following.alias("_next"),
         *([F.lag(ts).over(ordered).isNull().alias("_first")] if drop_first else []),
     )
-    stop = F.coalesce(F.col("_next") - t.step(rule), F.col(ts))
+    width = t.step(rule)
+    upto = f"coalesce(_next - {width}, {ts})"
     slots = looked.select(
-        "*", F.posexplode(F.sequence(F.col(ts), stop, t.step(rule))).alias("_pos", "_slot")
+        "*", F.expr(f"posexplode(sequence({ts}, {upto}, {width}))").alias("_pos", "_slot")
     )
     if drop_first:
         slots = slots.where(~(F.col("_first") & (F.col("_pos") == 0) & F.col("_next").isNotNull()))
@@ -96,26 +97,29 @@ def timeline_bounds(as_of, period: int, timeframe: str, year: int | None = None)
     """First and one-past-last epoch second of a timeline, as columns.
 
     A timeline has a step of 15 minutes and ends before ``as_of``, or before the
-    end of ``year``. ``as_of`` may be a column.
+    end of ``year``.
     """
+    end = t.wall(f"{year + 1:04d}-01-01 00:00:00") if year is not None else t.wall(as_of)
+    return _bounds(end, period, timeframe)
+
+
+def _bounds(end: str, period: int, timeframe: str):
     if timeframe not in t.TIMEFRAME_SECONDS:
         raise ValueError(f"unknown timeframe {timeframe!r}")
-    end = t.wall(f"{year + 1:04d}-01-01 00:00:00") if year is not None else t.wall(as_of)
     stop = t.epoch_seconds(end)
-    start = t.floor_to_step(stop - F.lit(t.TIMEFRAME_SECONDS[timeframe] * period))
-    return start, stop
+    back = stop - F.lit(t.TIMEFRAME_SECONDS[timeframe] * period)
+    return F.floor(back / t.QUARTER_SECONDS) * t.QUARTER_SECONDS, stop
 
 
 def timeline(
     anchors: DataFrame,
-    as_of,
     period: int,
     timeframe: str,
-    year: int | None = None,
+    anchor: str = "latest",
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Quarter-hour epochs of the timeline for each row of ``anchors``, end exclusive."""
-    start, stop = timeline_bounds(as_of, period, timeframe, year)
+    """Quarter-hour epochs of a timeline per key that ends before its ``anchor`` time."""
+    start, stop = _bounds(anchor, period, timeframe)
     return anchors.select(
         *keys, F.explode(F.sequence(start, stop - 1, F.lit(t.QUARTER_SECONDS))).alias("epoch")
     )

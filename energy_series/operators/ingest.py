@@ -77,10 +77,9 @@ def translate_battery(telegrams: DataFrame, keys: Sequence[str] = KEYS, ts: str
     )
 
 
-def compaction_bucket(ts: Column | str = TS) -> Column:
+def compaction_bucket(ts: str = TS) -> Column:
     """Five-minute bucket of a sample, moved back so it counts for the period it closes."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return t.bucket_start(ts - F.expr(BACK_SHIFT), COMPACT_RULE)
+    return t.bucket_start(f"{ts} - {BACK_SHIFT}", COMPACT_RULE)
 
 
 def meter_aggregates() -> list[Column]:

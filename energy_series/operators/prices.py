@@ -71,7 +71,7 @@ def price_bands(
         (F.row_number().over(dear) <= highq).alias("_dear"),
     )
     p = F.col("_price")
-    ahead = F.col(ts) >= t.wall(as_of)
+    ahead = F.expr(f"{ts} >= {t.wall(as_of)}")
     plain = ahead & ~F.col("_cheap") & ~F.col("_dear")
     return flagged.select(
         *keys,

@@ -48,7 +48,7 @@ def historic_series(
         samples = with_fallback(samples, sites, year or FALLBACK_YEAR, keys=keys)
     start, stop = timeline_bounds(as_of, period, timeframe, year)
     points = interpolate(samples, start, stop, keys=keys).withColumn(
-        ts, t.from_epoch(F.col("epoch"))
+        ts, t.from_epoch("epoch")
     )
     grouped = (label_delta if dif else label_sum)(
         points, "y", t.strftime(ts, grouping), keys, ts

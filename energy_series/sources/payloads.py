@@ -63,7 +63,7 @@ def _price_items(payloads: DataFrame, keys: Sequence[str]) -> DataFrame:
         *keys,
         F.col("item.startsAt").alias("starts_at"),
         F.col("item.total").alias("total"),
-        t.parse_wall(F.col("item.startsAt")).alias(TS),
+        t.parse_wall("item.startsAt").alias(TS),
         F.col("item.total").try_cast("double").alias("price"),
     )
 
@@ -91,7 +91,7 @@ def solar_rows(payloads: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     items = payloads.select(*keys, F.explode("energy.values").alias("item"))
     value = F.coalesce(F.col("item.value").try_cast("double"), F.lit(0.0))
     return items.select(
-        *keys, t.parse_wall(F.col("item.date")).alias(TS), value.cast("bigint").alias("solar")
+        *keys, t.parse_wall("item.date").alias(TS), value.cast("bigint").alias("solar")
     ).select(*keys, TS, t.epoch_seconds(TS).alias("sample_epoch"), "solar")
 
 

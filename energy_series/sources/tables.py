@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -26,16 +26,13 @@ def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def between(df: DataFrame, low: Column | None, high: Column | None, ts: str = TS) -> DataFrame:
-    """Closed time range, repeated on the partition column when the table has one."""
-    for name, cast in ((ts, None), (PARTITION, "date")):
-        if name not in df.columns:
-            continue
-        if low is not None:
-            df = df.where(F.col(name) >= (low.cast(cast) if cast else low))
-        if high is not None:
-            df = df.where(F.col(name) <= (high.cast(cast) if cast else high))
-    return df
+def between(df: DataFrame, low: str | None, high: str | None, ts: str = TS) -> DataFrame:
+    """Closed time range (SQL bounds), repeated on the partition column when there is one."""
+    limits = [(">=", low), ("<=", high)]
+    tests = [f"{ts} {op} {bound}" for op, bound in limits if bound]
+    if PARTITION in df.columns:
+        tests += [f"{PARTITION} {op} CAST({bound} AS DATE)" for op, bound in limits if bound]
+    return df.where(" AND ".join(tests)) if tests else df
 
 
 def window_scan(
@@ -43,8 +40,8 @@ def window_scan(
 ) -> DataFrame:
     """Rows of the last ``hours`` before ``as_of``, read wider by the margin on both sides."""
     end = t.wall(as_of)
-    low = end - F.expr(f"INTERVAL '{int(hours + margin_hours)}' HOUR")
-    return between(df, low, end + F.expr(f"INTERVAL '{int(margin_hours)}' HOUR"), ts)
+    low = f"{end} - INTERVAL '{int(hours + margin_hours)}' HOUR"
+    return between(df, low, f"{end} + INTERVAL '{int(margin_hours)}' HOUR", ts)
 
 
 def range_scan(
@@ -67,15 +64,14 @@ def range_scan(
         return between(df, t.wall(f"{year:04d}-01-01"), t.wall(f"{year + 1:04d}-01-01"), ts)
     low = t.periods_before(as_of, period + 1, timeframe)
     if from_start_of_year:
-        low = t.bucket_start(low, "year")
+        low = f"CAST(trunc(CAST({low} AS DATE), 'year') AS TIMESTAMP_NTZ)"
     high = None if include_today else t.periods_before(as_of, 1, "day")
     return between(df, low, high, ts)
 
 
 def retained(df: DataFrame, as_of, seconds: int = RETENTION_SECONDS, ts: str = TS) -> DataFrame:
     """Rows young enough to keep when a table is rewritten."""
-    low = t.from_epoch(t.epoch_seconds(t.wall(as_of)) - F.lit(seconds))
-    return between(df, low, None, ts)
+    return between(df, f"{t.wall(as_of)} - INTERVAL '{int(seconds)}' SECOND", None, ts)
 
 
 def last_write_wins(

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def _compacted(
     samples: DataFrame, aggregates: list[Column], keys: Sequence[str], ts: str, watermark: str
 ) -> DataFrame:
-    instant = samples.withColumn(ts, t.wall_to_instant(F.col(ts) - F.expr(ingest.BACK_SHIFT)))
+    instant = samples.withColumn(ts, t.wall_to_instant(f"{ts} - {ingest.BACK_SHIFT}"))
     grouped = (
         instant.withWatermark(ts, watermark)
         .groupBy(*keys, F.window(ts, "5 minutes").alias("_window"))
