@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Call sites are not recorded for every expression; building plans is faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

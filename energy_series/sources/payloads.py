@@ -55,7 +55,7 @@ def parsed(df: DataFrame, kind: str, text: str = "payload") -> DataFrame:
 
 
 def _price_items(payloads: DataFrame, keys: Sequence[str]) -> DataFrame:
-    info = F.col("data.viewer.homes")[0]["currentSubscription"]["priceInfo"]
+    info = F.get("data.viewer.homes", F.lit(0))["currentSubscription"]["priceInfo"]
     nothing = F.expr("CAST(array() AS array<struct<startsAt: string, total: string>>)")
     both = F.concat(F.coalesce(info["today"], nothing), F.coalesce(info["tomorrow"], nothing))
     items = payloads.select(*keys, F.explode(both).alias("item"))

@@ -151,7 +151,13 @@ def upsert(
             touched = stored.join(dated.select(PARTITION).distinct(), PARTITION, "left_semi")
             kept = touched.join(dated.select(*keys), list(keys), "left_anti")
             merged = kept.unionByName(dated)
-        merged.write.mode("overwrite").partitionBy(PARTITION).parquet(staged)
+        # A static overwrite leaves the marker that tells a complete copy.
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(PARTITION)
+            .parquet(staged)
+        )
     fs, staged_path = _file_system(spark, staged)
     if any(entry.isDirectory() for entry in fs.listStatus(staged_path)):
         write_table(spark.read.parquet(staged).drop(PARTITION), path, ts)
