@@ -316,6 +316,10 @@ _STATEMENTS: dict[str, str] = {
                last_value(CASE WHEN hour(sample_time) % 5 <> 0 THEN price END IGNORE NULLS)
                    OVER (ORDER BY sample_time) AS price
         FROM v_prices""",
+    "series_join": f"""
+        SELECT m.*, p.solar, CAST(r.exact AS DOUBLE) AS price
+        FROM q_mains m JOIN q_production p USING (site_id, sample_time)
+        JOIN q_prices r USING (sample_time)""",
     "energy_quarters": f"""
         SELECT site_id, sample_time, {", ".join(ENERGY)}, {_shown(MONEY, x="{c}")} FROM q_energy""",
     "trend_pv_day": _frame(_DAY, ("deliver", "storage", "charge")),

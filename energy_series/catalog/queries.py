@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..columns import COUNTERS, TS
 from ..functions import energy as e
 from ..functions import time as t
-from ..operators import counters, gaps, grid, ingest, interpolate, ordered, prices, shape, tariff
+from ..operators import counters, gaps, grid, ingest, interpolate, join, ordered, prices, shape, tariff
 from ..plans import bands, historic, quarter, trend
 from ..sources import payloads, tables
 from ..streaming import compaction
@@ -105,6 +105,17 @@ def _quarters(spark, sf_dir) -> DataFrame:
     return trend.energy_quarters(v.tables(spark, sf_dir), holes=False)
 
 
+@query
+def series_join(spark, sf_dir):
+    """The three resampled series joined slot by slot."""
+    source = v.tables(spark, sf_dir)
+    return join.energy_join(
+        quarter.mains_wh(source.mains, holes=False),
+        quarter.production_wh(source.production),
+        quarter.price_quarters(source.prices),
+    )
+
+
 @query
 def energy_quarters(spark, sf_dir):
     q = _quarters(spark, sf_dir)

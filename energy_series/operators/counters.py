@@ -16,31 +16,60 @@ from .ordered import SLICE
 _SUB_HOUR = ("1min", "5min", "15min")
 
 
-def _slices_with_holes(df, cols, keys, ts, rule) -> DataFrame:
-    """Per slice: sum of the steps inside it, first and last reading.
-
-    A step is only counted when both of its readings are present, so a missing
-    reading loses the step before and the step after it.
-    """
-    inside = Window.partitionBy(*keys, "_slice").orderBy(ts)
-    steps = df.withColumn("_slice", t.bucket_start(ts, rule)).withColumns(
-        {f"_step_{c}": F.col(c) - F.lag(c).over(inside) for c in cols}
-    )
-    return steps.groupBy(*keys, "_slice").agg(
-        *[F.coalesce(F.sum(f"_step_{c}"), F.lit(0)).alias(f"_in_{c}") for c in cols],
-        *[F.min_by(c, ts).alias(f"_first_{c}") for c in cols],
-        *[F.max_by(c, ts).alias(f"_last_{c}") for c in cols],
-    )
+def slice_readings(
+    df: DataFrame,
+    cols: Sequence[str],
+    rule: str,
+    keys: Sequence[str] = KEYS,
+    ts: str = TS,
+    holes: bool = True,
+    meter: str | None = None,
+    also: Sequence[Column] = (),
+) -> DataFrame:
+    """One row per key and time slice (``ts`` is its start): the steps inside it, its
+    first and its last reading.
 
+    A step between two neighbouring readings counts when both are present, so a
+    missing reading loses the step before and the step after it; this needs the
+    rows of a slice in order. ``holes=False`` states that no reading is missing:
+    then the steps telescope to last - first, rows are combined before the shuffle
+    and no raw row is sorted.
 
-def _slices_complete(df, cols, keys, ts, rule) -> DataFrame:
-    """The same when no reading is missing: the steps telescope to last - first,
-    so rows are combined before the shuffle and no raw row is sorted."""
-    ends = df.groupBy(*keys, t.bucket_start(ts, rule).alias("_slice")).agg(
-        *[F.min_by(c, ts).alias(f"_first_{c}") for c in cols],
-        *[F.max_by(c, ts).alias(f"_last_{c}") for c in cols],
-    )
-    return ends.withColumns({f"_in_{c}": F.col(f"_last_{c}") - F.col(f"_first_{c}") for c in cols})
+    ``meter`` names a boolean column when ``df`` also holds rows of another kind;
+    those must have NULL counters. ``also`` adds aggregates over all rows.
+    """
+    rows = df.withColumn("_slice", t.bucket_start(ts, rule))
+    at = F.when(F.col(meter), F.col(ts)) if meter else F.col(ts)
+    ends = [
+        aggregate(c, at).alias(f"{name}_{c}")
+        for name, aggregate in (("_first", F.min_by), ("_last", F.max_by))
+        for c in cols
+    ]
+    marks = [F.max(meter).alias("_metered")] if meter else []
+    if not holes:
+        grouped = rows.groupBy(*keys, "_slice").agg(*ends, *marks, *also)
+        inside = {f"_in_{c}": F.col(f"_last_{c}") - F.col(f"_first_{c}") for c in cols}
+        return grouped.withColumns(inside).withColumnRenamed("_slice", ts)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*([meter] if meter else []), ts)
+    stepped = rows.withColumns({f"_step_{c}": F.col(c) - F.lag(c).over(inside) for c in cols})
+    sums = [F.sum(f"_step_{c}").alias(f"_in_{c}") for c in cols]
+    grouped = stepped.groupBy(*keys, "_slice").agg(*sums, *ends, *marks, *also)
+    return grouped.withColumnRenamed("_slice", ts)
+
+
+def consumption(c: str, came_from: Column) -> Column:
+    """Steps inside a slice plus the step from the last reading before it."""
+    nothing = F.lit(0)
+    step = F.coalesce(F.col(f"_first_{c}") - came_from, nothing)
+    return (F.coalesce(F.col(f"_in_{c}"), nothing) + step).alias(c)
+
+
+def slice_deltas(
+    cols: Sequence[str], keys: Sequence[str] = KEYS, ts: str = TS
+) -> list[Column]:
+    """Consumption per slice, the step from the slice before it included."""
+    across = Window.partitionBy(*keys).orderBy(ts)
+    return [consumption(c, F.lag(f"_last_{c}").over(across)) for c in cols]
 
 
 def bucket_delta(
@@ -62,25 +91,10 @@ def bucket_delta(
     """
     rule = t.rule_name(rule)
     slice_rule = rule if rule in _SUB_HOUR else SLICE
-    slices = (_slices_with_holes if holes else _slices_complete)(df, cols, keys, ts, slice_rule)
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    deltas = slices.select(
-        *keys,
-        "_slice",
-        *[
-            (
-                F.col(f"_in_{c}")
-                + F.coalesce(
-                    F.col(f"_first_{c}") - F.lag(f"_last_{c}").over(across), F.lit(0)
-                )
-            ).alias(c)
-            for c in cols
-        ],
-    )
-    if slice_rule == rule:
-        buckets = deltas.withColumnRenamed("_slice", ts)
-    else:
-        buckets = deltas.groupBy(*keys, t.bucket_start("_slice", rule).alias(ts)).agg(
+    slices = slice_readings(df, cols, slice_rule, keys, ts, holes)
+    buckets = slices.select(*keys, ts, *slice_deltas(cols, keys, ts))
+    if slice_rule != rule:
+        buckets = buckets.groupBy(*keys, t.bucket_start(ts, rule).alias(ts)).agg(
             *[F.sum(c).alias(c) for c in cols]
         )
     if dense:

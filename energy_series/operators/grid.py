@@ -37,16 +37,29 @@ def densify(
     """
     ordered = Window.partitionBy(*keys).orderBy(ts)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    following = F.lead(ts).over(ordered)
     looked = buckets.select(
         *keys,
         ts,
         *zero,
         *null,
         *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in carry],
-        following.alias("_next"),
+        F.lead(ts).over(ordered).alias("_next"),
         *([F.lag(ts).over(ordered).isNull().alias("_first")] if drop_first else []),
     )
+    return fill_slots(looked, rule, zero, null, carry, keys, ts, drop_first)
+
+
+def fill_slots(
+    looked: DataFrame,
+    rule: str,
+    zero: Sequence[str] = (),
+    null: Sequence[str] = (),
+    repeat: Sequence[str] = (),
+    keys: Sequence[str] = KEYS,
+    ts: str = TS,
+    drop_first: bool = False,
+) -> DataFrame:
+    """Second half of :func:`densify`, for rows that know the ``_next`` bucket of their key."""
     width = t.step(rule)
     upto = f"coalesce(_next - {width}, {ts})"
     slots = looked.select(
@@ -55,13 +68,13 @@ def densify(
     if drop_first:
         slots = slots.where(~(F.col("_first") & (F.col("_pos") == 0) & F.col("_next").isNotNull()))
     own = F.col("_pos") == 0
-    types = dict(buckets.dtypes)
+    types = dict(looked.dtypes)
     return slots.select(
         *keys,
         F.col("_slot").alias(ts),
         *[F.when(own, F.col(c)).otherwise(F.lit(0).cast(types[c])).alias(c) for c in zero],
         *[F.when(own, F.col(c)).alias(c) for c in null],
-        *carry,
+        *repeat,
     )
 
 

@@ -117,8 +117,16 @@ def compact_battery(samples: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS
 def compaction_remainder(samples: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
     """Samples newer than the newest bucket label of their key: the unfinished bucket."""
     newest = samples.groupBy(*keys).agg(F.max(compaction_bucket(ts)).alias("_newest"))
+    # Such samples lie in the five minutes from the label on or start the next ones,
+    # so the join is on site and five minutes and a busy site does not meet in one task.
+    reach = newest.select(
+        *keys,
+        "_newest",
+        F.expr(f"explode(array(_newest, _newest + {t.step(COMPACT_RULE)}))").alias("_part"),
+    )
     return (
-        samples.join(newest, list(keys), "inner")
+        samples.withColumn("_part", t.bucket_start(ts, COMPACT_RULE))
+        .join(reach, [*keys, "_part"], "inner")
         .where(t.epoch_seconds(ts) > t.epoch_seconds("_newest"))
         .select(*samples.columns)
     )

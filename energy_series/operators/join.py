@@ -5,10 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..columns import KEYS, TS
 
 
+def with_prices(
+    series: DataFrame, prices: DataFrame, price_keys: Sequence[str] = (), ts: str = TS
+) -> DataFrame:
+    """Add the price of each slot; slots without a price are left out.
+
+    Prices belong to a market, not to a site, and hold one row per market and
+    slot. ``price_keys`` names the columns of ``series`` that identify the market.
+    Without them there is one market, so the price side is bounded by the calendar
+    (35,040 slots or about 1 MB a year) and is broadcast. With several markets its
+    size is not known here; adaptive execution broadcasts it when its measured
+    size allows and shuffles it otherwise.
+    """
+    market = prices.select(*price_keys, ts, "price")
+    return series.join(market if price_keys else F.broadcast(market), [*price_keys, ts], "inner")
+
+
 def energy_join(
     mains: DataFrame,
     production: DataFrame,
@@ -17,13 +34,5 @@ def energy_join(
     price_keys: Sequence[str] = (),
     ts: str = TS,
 ) -> DataFrame:
-    """Rows for the slots all three series have.
-
-    Prices belong to a market, not to a site: ``price_keys`` names the columns of
-    ``keys`` that identify the market, empty when there is only one. The price
-    side holds one row per market and slot; adaptive execution broadcasts it when
-    its measured size allows and shuffles it otherwise.
-    """
-    on_site = [*keys, ts]
-    market = prices.select(*price_keys, ts, "price")
-    return mains.join(production, on_site, "inner").join(market, [*price_keys, ts], "inner")
+    """Rows for the slots that three resampled series share."""
+    return with_prices(mains.join(production, [*keys, ts], "inner"), prices, price_keys, ts)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..columns import KEYS, MARKET, TS
+from ..columns import COUNTERS, KEYS, MARKET, TS
 from ..functions import energy as e
 from ..functions import time as t
-from ..operators.grid import label_buckets
-from ..operators.join import energy_join
+from ..operators.counters import consumption, slice_readings
+from ..operators.grid import fill_slots, label_buckets
+from ..operators.join import with_prices
 from ..operators.shape import tail
 from ..sources.tables import window_scan
 from . import quarter
@@ -71,6 +72,68 @@ PRESETS = {
 _MONEY = ("sell_euro", "own_use_euro", "dyn_buy_euro", "ev_cost")
 
 
+def metered_quarters(
+    mains: DataFrame,
+    production: DataFrame,
+    keys: Sequence[str] = KEYS,
+    ts: str = TS,
+    holes: bool = True,
+) -> DataFrame:
+    """Whole Wh per quarter hour that both the meters and the solar series cover.
+
+    The same rows as joining :func:`~.quarter.mains_wh` with
+    :func:`~.quarter.production_wh`, without a join: both tables are stacked,
+    aggregated to quarter hours once, and one window per site gives the counter
+    deltas, the bounds of both series and the empty slots. Raw rows are shuffled
+    once and quarter hours once.
+    """
+    counters = e.numeric(mains.select(*keys, ts, *COUNTERS), keep=(*keys, ts))
+    solar = e.numeric(production.select(*keys, ts, "solar"), keep=(*keys, ts))
+    stacked = counters.withColumn("_meter", F.lit(True)).unionByName(
+        solar.withColumn("_meter", F.lit(False)), allowMissingColumns=True
+    )
+    slices = slice_readings(
+        stacked,
+        COUNTERS,
+        "15min",
+        keys,
+        ts,
+        holes,
+        meter="_meter",
+        also=[F.sum("solar").alias("solar"), F.min("_meter").alias("_only_meter")],
+    )
+    ordered = Window.partitionBy(*keys).orderBy(ts)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    metered = F.when(F.col("_metered"), F.col(ts))
+    lit_up = F.when(~F.col("_only_meter"), F.col(ts))
+    # Slots without a meter row are passed over, a missing reading is not.
+    ends = F.struct(*[F.col(f"_last_{c}").alias(c) for c in COUNTERS])
+    looked = slices.select(
+        "*",
+        F.last(F.when(F.col("_metered"), ends), ignorenulls=True).over(before).alias("_before"),
+        F.min(metered).over(whole).alias("_opens"),
+        F.max(metered).over(whole).alias("_closes"),
+        F.min(lit_up).over(whole).alias("_sunrise"),
+        F.max(lit_up).over(whole).alias("_sunset"),
+        F.lead(ts).over(ordered).alias("_next"),
+    )
+    bounds = ["_opens", "_closes", "_sunrise", "_sunset"]
+    used = looked.select(
+        *keys,
+        ts,
+        *[consumption(c, F.col(f"_before.{c}")) for c in COUNTERS],
+        F.coalesce("solar", F.lit(0)).alias("solar"),
+        *bounds,
+        "_next",
+    )
+    dense = fill_slots(used, "15min", [*COUNTERS, "solar"], repeat=bounds, keys=keys, ts=ts)
+    return dense.where(
+        f"{ts} BETWEEN _sunrise AND _sunset AND {ts} <= _closes"
+        f" AND ({ts} > _opens OR ({ts} = _opens AND _opens = _closes))"
+    ).drop(*bounds)
+
+
 def energy_quarters(
     tables: Tables,
     keys: Sequence[str] = KEYS,
@@ -79,14 +142,9 @@ def energy_quarters(
     holes: bool = True,
 ) -> DataFrame:
     """Joined quarter-hour table: whole Wh, own use, and exact money per slot."""
-    joined = energy_join(
-        quarter.mains_wh(tables.mains, keys=keys, ts=ts, holes=holes),
-        quarter.production_wh(tables.production, keys=keys, ts=ts),
-        quarter.price_quarters(tables.prices, keys=price_keys or MARKET, ts=ts),
-        keys,
-        price_keys,
-        ts,
-    )
+    metered = metered_quarters(tables.mains, tables.production, keys, ts, holes)
+    prices = quarter.price_quarters(tables.prices, keys=price_keys or MARKET, ts=ts)
+    joined = with_prices(metered, prices, price_keys, ts)
     col, price = F.col, F.col("price")
     own = e.own_use(col("exp"), col("gep"), col("evp"))
     return joined.select(
@@ -116,8 +174,8 @@ def aggregate_quarters(
 ) -> DataFrame:
     """Sum chosen columns to ``rule``: energy in kWh, money in euro.
 
-    The three joined grids have no holes, so neither has their intersection and
-    the sums need no grid of their own.
+    The joined grids have no holes, so neither has their intersection and the sums
+    need no grid of their own.
     """
     summed = quarters.groupBy(*keys, t.bucket_start(ts, rule).alias(ts)).agg(
         *[F.sum(c).alias(c) for c in columns]

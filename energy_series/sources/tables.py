@@ -97,18 +97,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-FILES_PER_DATE = 32
-
-
 def write_table(df: DataFrame, path: str, ts: str = TS, mode: str = "overwrite") -> None:
     """Write a partitioned table, replacing only the partitions ``df`` has rows for.
 
-    Rows are brought together by date and site, so a date becomes several files
-    of neighbouring sites and not one small file per task.
+    Rows are brought together by date; adaptive execution merges small dates and
+    splits large ones, so files get a sensible size whatever a date holds. Within a
+    file rows are ordered by site, which lets scans skip row groups.
     """
     dated = df.withColumn(PARTITION, F.col(ts).cast("date"))
+    ids = [c for c in df.columns if c.endswith("_id")]
     (
-        dated.repartition(PARTITION, F.pmod(F.xxhash64(*_file_keys(df, ts)), F.lit(FILES_PER_DATE)))
+        dated.hint("rebalance", PARTITION)
+        .sortWithinPartitions(PARTITION, *ids, ts)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
@@ -116,11 +116,6 @@ def write_table(df: DataFrame, path: str, ts: str = TS, mode: str = "overwrite")
     )
 
 
-def _file_keys(df: DataFrame, ts: str) -> list[str]:
-    ids = [c for c in df.columns if c.endswith("_id")]
-    return ids or [ts]
-
-
 def upsert(
     rows: DataFrame,
     path: str,
@@ -132,35 +127,33 @@ def upsert(
 ) -> None:
     """Insert rows into a table, replacing rows with the same key.
 
-    Only partitions of dates that occur in ``rows`` are read and rewritten. The
-    merged partitions are first written to ``staging/batch=<batch>``; when a crash
-    interrupts the publication, repeating the same batch publishes that copy again
-    instead of reading a half-replaced table. The copy is removed afterwards.
-    Repeating a finished batch changes nothing. Within one batch the highest ``sequence`` wins; without a sequence the
-    keys of a batch must be unique.
+    Only partitions of dates that occur in ``rows`` are read and rewritten; those
+    dates, at most one value per calendar day, are listed on the driver so that the
+    scan lists no other folder. The merged partitions are first written to
+    ``staging/batch=<batch>``; when a crash interrupts the publication, repeating the
+    same batch publishes that copy again instead of reading a half-replaced table.
+    The copy is removed afterwards. Repeating a finished batch changes nothing.
+    Within one batch the highest ``sequence`` wins; without a sequence the keys of a
+    batch must be unique.
     """
     spark = rows.sparkSession
     staged = f"{staging.rstrip('/')}/batch={batch}"
     if not _exists(spark, f"{staged}/_SUCCESS"):
         dated = rows.withColumn(PARTITION, F.col(ts).cast("date"))
+        days = [r[0] for r in dated.select(PARTITION).distinct().collect()]
+        if not days:
+            return
         if sequence:
             dated = last_write_wins(dated, sequence, keys)
         merged = dated
         if _exists(spark, path):
             stored = spark.read.schema(dated.schema).parquet(path)
-            touched = stored.join(dated.select(PARTITION).distinct(), PARTITION, "left_semi")
+            touched = stored.where(F.col(PARTITION).isin(days))
             kept = touched.join(dated.select(*keys), list(keys), "left_anti")
             merged = kept.unionByName(dated)
-        # A static overwrite leaves the marker that tells a complete copy.
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(PARTITION)
-            .parquet(staged)
-        )
+        merged.write.mode("overwrite").parquet(staged)
+    write_table(spark.read.parquet(staged).drop(PARTITION), path, ts)
     fs, staged_path = _file_system(spark, staged)
-    if any(entry.isDirectory() for entry in fs.listStatus(staged_path)):
-        write_table(spark.read.parquet(staged).drop(PARTITION), path, ts)
     fs.delete(staged_path, True)
 
 
