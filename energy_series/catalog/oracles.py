@@ -86,16 +86,15 @@ VIEWS: dict[str, str] = {
                CASE WHEN gep < solar THEN gep - solar ELSE -solar END AS storage,
                gen AS charge, exp AS sell, greatest(exp + gep + evp, 0) AS own_use, imp AS buy,
                evn AS ev_charge, evp AS ev_deliver,
-               abs(CAST(exp AS DECIMAL(18,0)) * exact) AS sell_euro,
-               CAST(greatest(exp + gep + evp, 0) AS DECIMAL(18,0)) * exact AS own_use_euro,
-               CAST(gen AS DECIMAL(18,0)) * exact AS dyn_buy_euro,
-               CAST(evn AS DECIMAL(18,0)) * exact AS ev_cost
+               abs(exp * units) AS sell_euro, greatest(exp + gep + evp, 0) * units AS own_use_euro,
+               gen * units AS dyn_buy_euro, evn * units AS ev_cost
         FROM q_mains m JOIN q_production p USING (site_id, sample_time)
-        JOIN q_prices r USING (sample_time)""",
+        JOIN (SELECT *, CAST(exact * 100000000 AS BIGINT) AS units FROM q_prices) r
+        USING (sample_time)""",
 }
 
 _KWH = "CAST({x} AS DOUBLE) * CAST(0.001 AS DOUBLE) AS {c}"
-_EURO = "CAST({x} AS DOUBLE) / CAST(1000 AS DOUBLE) AS {c}"
+_EURO = "CAST({x} AS DOUBLE) / CAST(100000000000 AS DOUBLE) AS {c}"
 MONEY = ("sell_euro", "own_use_euro", "dyn_buy_euro", "ev_cost")
 ENERGY = ("deliver", "storage", "charge", "sell", "own_use", "buy", "ev_charge", "ev_deliver")
 
@@ -335,11 +334,11 @@ _STATEMENTS: dict[str, str] = {
     "trend_evcost_year": _frame(_YEAR_END, ("ev_cost",)),
     "trend_table_day": _frame(_DAY, (*ENERGY, *MONEY)),
     "trend_totals": """
-        SELECT site_id, CAST(sum(own_use_euro) AS DOUBLE) / 1000::DOUBLE AS avoided_cost,
-               CAST(sum(sell_euro) AS DOUBLE) / 1000::DOUBLE AS export_earnings,
-               CAST(sum(dyn_buy_euro) AS DOUBLE) / 1000::DOUBLE AS buy_imbalance,
+        SELECT site_id, CAST(sum(own_use_euro) AS DOUBLE) / 1e11::DOUBLE AS avoided_cost,
+               CAST(sum(sell_euro) AS DOUBLE) / 1e11::DOUBLE AS export_earnings,
+               CAST(sum(dyn_buy_euro) AS DOUBLE) / 1e11::DOUBLE AS buy_imbalance,
                CAST(sum(own_use_euro) + sum(sell_euro) + sum(dyn_buy_euro) AS DOUBLE)
-                   / 1000::DOUBLE AS total
+                   / 1e11::DOUBLE AS total
         FROM q_energy GROUP BY 1""",
     "tick_labels": f"""
         SELECT site_id, sample_time, solar,

@@ -489,7 +489,7 @@ def stream_compact(spark, sf_dir):
     """The compaction as a stream over the event file, upserted into a table."""
     shared = compaction.shared_folder(spark, "stream_compact")
     events = (
-        spark.readStream.schema(v.read(spark, sf_dir, "events").schema)
+        spark.readStream.schema(v.SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )

@@ -19,8 +19,25 @@ from ..plans.trend import Tables
 MARKET_OF_SITE = "CASE WHEN site_id < '8' THEN 'NL' ELSE 'BE' END"
 
 
+SCHEMAS = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def with_site(events: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Prices enter products as exact decimals, so money sums do not depend on row order.
+# Means of prices are taken over exact decimals, and money is a product of whole
+# numbers: Wh and hundred-millionths of a euro per kWh. Sums then do not depend on
+# the order of rows, and no slow wide decimals are needed.
 PRICE_TYPE = "decimal(12,8)"
-ENERGY_TYPE = "decimal(18,0)"
+PRICE_UNITS = 100_000_000
 
 
 def numeric(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -54,14 +56,19 @@ def stored_solar(gep: Column, solar: Column) -> Column:
     return -F.when(gep < solar, solar - gep).otherwise(solar)
 
 
-def money(energy_wh: Column, price: Column) -> Column:
-    """Exact product of whole Wh and price per kWh: thousandths of a euro."""
-    return energy_wh.cast(ENERGY_TYPE) * price.cast(PRICE_TYPE)
+def price_units(price: Column) -> Column:
+    return F.round(price * F.lit(float(PRICE_UNITS))).cast("bigint")
+
+
+def money(energy_wh: Column, units: Column) -> Column:
+    """Exact product of whole Wh and :func:`price_units`."""
+    return energy_wh * units
 
 
 def euro(total: Column | str) -> Column:
     """Presentation of a sum of :func:`money`."""
-    return (F.col(total) if isinstance(total, str) else total).cast("double") / F.lit(1000.0)
+    col = F.col(total) if isinstance(total, str) else total
+    return col.cast("double") / F.lit(1000.0 * PRICE_UNITS)
 
 
 def truncated(col: Column, factor: float, to: str = "bigint") -> Column:

@@ -23,8 +23,6 @@ def slice_readings(
     keys: Sequence[str] = KEYS,
     ts: str = TS,
     holes: bool = True,
-    meter: str | None = None,
-    also: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per key and time slice (``ts`` is its start): the steps inside it, its
     first and its last reading.
@@ -34,26 +32,22 @@ def slice_readings(
     rows of a slice in order. ``holes=False`` states that no reading is missing:
     then the steps telescope to last - first, rows are combined before the shuffle
     and no raw row is sorted.
-
-    ``meter`` names a boolean column when ``df`` also holds rows of another kind;
-    those must have NULL counters. ``also`` adds aggregates over all rows.
     """
     rows = df.withColumn("_slice", t.bucket_start(ts, rule))
-    at = F.when(F.col(meter), F.col(ts)) if meter else F.col(ts)
     ends = [
-        aggregate(c, at).alias(f"{name}_{c}")
+        aggregate(c, ts).alias(f"{name}_{c}")
         for name, aggregate in (("_first", F.min_by), ("_last", F.max_by))
         for c in cols
     ]
-    marks = [F.max(meter).alias("_metered")] if meter else []
-    if not holes:
-        grouped = rows.groupBy(*keys, "_slice").agg(*ends, *marks, *also)
-        inside = {f"_in_{c}": F.col(f"_last_{c}") - F.col(f"_first_{c}") for c in cols}
-        return grouped.withColumns(inside).withColumnRenamed("_slice", ts)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*([meter] if meter else []), ts)
-    stepped = rows.withColumns({f"_step_{c}": F.col(c) - F.lag(c).over(inside) for c in cols})
-    sums = [F.sum(f"_step_{c}").alias(f"_in_{c}") for c in cols]
-    grouped = stepped.groupBy(*keys, "_slice").agg(*sums, *ends, *marks, *also)
+    if holes:
+        inside = Window.partitionBy(*keys, "_slice").orderBy(ts)
+        rows = rows.withColumns({f"_step_{c}": F.col(c) - F.lag(c).over(inside) for c in cols})
+        steps = [F.sum(f"_step_{c}").alias(f"_in_{c}") for c in cols]
+        grouped = rows.groupBy(*keys, "_slice").agg(*steps, *ends)
+    else:
+        grouped = rows.groupBy(*keys, "_slice").agg(*ends)
+        telescoped = {f"_in_{c}": F.col(f"_last_{c}") - F.col(f"_first_{c}") for c in cols}
+        grouped = grouped.withColumns(telescoped)
     return grouped.withColumnRenamed("_slice", ts)
 
 

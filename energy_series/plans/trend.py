@@ -12,7 +12,7 @@ from ..columns import COUNTERS, KEYS, MARKET, TS
 from ..functions import energy as e
 from ..functions import time as t
 from ..operators.counters import consumption, slice_readings
-from ..operators.grid import fill_slots, label_buckets
+from ..operators.grid import fill_slots, label_buckets, resample
 from ..operators.join import with_prices
 from ..operators.shape import tail
 from ..sources.tables import window_scan
@@ -82,40 +82,31 @@ def metered_quarters(
     """Whole Wh per quarter hour that both the meters and the solar series cover.
 
     The same rows as joining :func:`~.quarter.mains_wh` with
-    :func:`~.quarter.production_wh`, without a join: both tables are stacked,
-    aggregated to quarter hours once, and one window per site gives the counter
-    deltas, the bounds of both series and the empty slots. Raw rows are shuffled
-    once and quarter hours once.
+    :func:`~.quarter.production_wh`, but the quarter hours that hold samples are
+    joined before the empty ones are added: both sides are aggregated by site and
+    slot, so they meet without another shuffle, and one window per site then gives
+    the counter deltas, the bounds of both series and the empty slots.
     """
-    counters = e.numeric(mains.select(*keys, ts, *COUNTERS), keep=(*keys, ts))
+    readings = e.numeric(mains.select(*keys, ts, *COUNTERS), keep=(*keys, ts))
+    metered = slice_readings(readings, COUNTERS, "15min", keys, ts, holes)
     solar = e.numeric(production.select(*keys, ts, "solar"), keep=(*keys, ts))
-    stacked = counters.withColumn("_meter", F.lit(True)).unionByName(
-        solar.withColumn("_meter", F.lit(False)), allowMissingColumns=True
-    )
-    slices = slice_readings(
-        stacked,
-        COUNTERS,
-        "15min",
-        keys,
-        ts,
-        holes,
-        meter="_meter",
-        also=[F.sum("solar").alias("solar"), F.min("_meter").alias("_only_meter")],
-    )
+    lit_up = resample(solar, "15min", sums=["solar"], keys=keys, ts=ts, dense=False)
+    slices = metered.withColumn("_metered", F.lit(True)).join(lit_up, [*keys, ts], "full")
+
     ordered = Window.partitionBy(*keys).orderBy(ts)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    metered = F.when(F.col("_metered"), F.col(ts))
-    lit_up = F.when(~F.col("_only_meter"), F.col(ts))
+    with_meter = F.when(F.col("_metered"), F.col(ts))
+    with_sun = F.when(F.col("solar").isNotNull(), F.col(ts))
     # Slots without a meter row are passed over, a missing reading is not.
-    ends = F.struct(*[F.col(f"_last_{c}").alias(c) for c in COUNTERS])
+    ends = F.when(F.col("_metered"), F.struct(*[F.col(f"_last_{c}").alias(c) for c in COUNTERS]))
     looked = slices.select(
         "*",
-        F.last(F.when(F.col("_metered"), ends), ignorenulls=True).over(before).alias("_before"),
-        F.min(metered).over(whole).alias("_opens"),
-        F.max(metered).over(whole).alias("_closes"),
-        F.min(lit_up).over(whole).alias("_sunrise"),
-        F.max(lit_up).over(whole).alias("_sunset"),
+        F.last(ends, ignorenulls=True).over(before).alias("_before"),
+        F.min(with_meter).over(whole).alias("_opens"),
+        F.max(with_meter).over(whole).alias("_closes"),
+        F.min(with_sun).over(whole).alias("_sunrise"),
+        F.max(with_sun).over(whole).alias("_sunset"),
         F.lead(ts).over(ordered).alias("_next"),
     )
     bounds = ["_opens", "_closes", "_sunrise", "_sunset"]
@@ -144,7 +135,8 @@ def energy_quarters(
     """Joined quarter-hour table: whole Wh, own use, and exact money per slot."""
     metered = metered_quarters(tables.mains, tables.production, keys, ts, holes)
     prices = quarter.price_quarters(tables.prices, keys=price_keys or MARKET, ts=ts)
-    joined = with_prices(metered, prices, price_keys, ts)
+    units = prices.withColumn("price", e.price_units(F.col("price")))
+    joined = with_prices(metered, units, price_keys, ts)
     col, price = F.col, F.col("price")
     own = e.own_use(col("exp"), col("gep"), col("evp"))
     return joined.select(
