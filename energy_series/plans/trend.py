@@ -178,12 +178,17 @@ def aggregate_quarters(
     return label_buckets(shown, rule, ts)
 
 
+def frame_of(table: DataFrame, name: str, keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
+    """One result frame cut out of a :func:`trend_table`."""
+    chosen = table.select(*keys, ts, *FRAMES[name])
+    return chosen.withColumnsRenamed({c: SHORT[c] for c in FRAMES[name] if c in SHORT})
+
+
 def frame(
     quarters: DataFrame, name: str, rule: str, keys: Sequence[str] = KEYS, ts: str = TS
 ) -> DataFrame:
     """One result frame (``PV``, ``HOME``, ``EV``, ``EURO`` or ``EVcost``)."""
-    result = aggregate_quarters(quarters, rule, FRAMES[name], keys, ts)
-    return result.withColumnsRenamed({c: SHORT[c] for c in FRAMES[name] if c in SHORT})
+    return frame_of(aggregate_quarters(quarters, rule, FRAMES[name], keys, ts), name, keys, ts)
 
 
 def energy_trend(
@@ -198,9 +203,9 @@ def energy_trend(
 ) -> dict[str, DataFrame]:
     """All result frames of a window; the whole tables when ``as_of`` is None.
 
-    The frames are lazy and share one quarter-hour table. A caller who writes
-    several of them can write that table (:func:`energy_quarters`) first, or take
-    all columns at once with :func:`trend_table`.
+    The frames are lazy and each computes what it needs. A caller who writes several
+    of them takes all columns at once with :func:`trend_table`, writes that table and
+    cuts the frames out of it with :func:`frame_of`.
     """
     source = tables if as_of is None else tables.window(as_of, hours, ts)
     quarters = energy_quarters(source, keys, price_keys, ts, holes)

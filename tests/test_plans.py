@@ -11,6 +11,7 @@ import check
 from energy_series.catalog import views as v
 from energy_series.operators import counters, grid
 from energy_series.plans import trend
+from energy_series.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
@@ -53,7 +54,20 @@ def test_raw_rows_are_never_in_a_window_over_a_whole_site(spark):
     assert len(exchanges) == 2
     assert re.match(r"site_id#\d+, 4", exchanges[0]) and "_slice" in exchanges[1]
     short = physical(counters.bucket_delta(mains, ["x"], "15min", holes=False))
-    assert short.count("Window") == 2 and "partial_max_by" in short
+    assert short.count("Exchange") == 2 and short.count("Sort [") == 1
+    assert "partial_max_by" in short.split("Exchange")[-1]
+
+
+def test_energy_table_shuffles_raw_rows_and_quarter_hours_once(spark, tmp_path):
+    stored = trend.Tables(
+        *[tables.create_table(spark, n, str(tmp_path / n))
+          for n in ("mains", "production", "prices", "battery")]
+    )
+    plan = physical(trend.trend_table(stored, "d", "2024-01-20", 480, holes=False))
+    meters = plan[: plan.index("BroadcastExchange")]
+    assert len(re.findall(r"Exchange hashpartitioning\(site_id#\d+, \w+#\d+, 4\)", meters)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(site_id#\d+, 4\)", meters)) == 1
+    assert "SortMergeJoin" in meters and "sample_date" in plan
 
 
 def test_resample_aggregates_before_its_first_shuffle(spark):
@@ -63,6 +77,6 @@ def test_resample_aggregates_before_its_first_shuffle(spark):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    tables = v.tables(spark, SMALL)
-    plan = physical(trend.frame(trend.energy_quarters(tables), "HOME", "d"))
+    source = v.tables(spark, SMALL)
+    plan = physical(trend.frame(trend.energy_quarters(source), "HOME", "d"))
     assert "props" not in plan
