@@ -277,6 +277,9 @@ _JUNE, _DECEMBER, _Y2000 = 992606400, 1007985600, 946684800
 
 _STATEMENTS: dict[str, str] = {
     "mains_15min": f"SELECT site_id, sample_time, {_kwh(*COUNTERS)} FROM q_mains",
+    "mains_steps": "SELECT site_id, sample_time, "
+    + ", ".join(f"CAST({c} - lag({c}) OVER w AS DOUBLE) AS {c}" for c in COUNTERS)
+    + " FROM v_mains WINDOW w AS (PARTITION BY site_id ORDER BY sample_time)",
     "mains_hourly": _delta_direct("1 HOUR", "hour"),
     "mains_daily": f"""
         SELECT site_id, {_DAY} AS sample_time, {_kwh("imp", x="sum({c})")}

@@ -45,6 +45,13 @@ def mains_15min(spark, sf_dir):
     return quarter.mains_quarters(v.mains(_ev(spark, sf_dir)))
 
 
+@query
+def mains_steps(spark, sf_dir):
+    """Step of every reading from the one before it."""
+    steps = ordered.row_delta(v.mains(_ev(spark, sf_dir)), COUNTERS)
+    return steps.withColumns({c: F.col(c).cast("double") for c in COUNTERS})
+
+
 @query
 def mains_hourly(spark, sf_dir):
     return quarter.mains_quarters(v.mains(_ev(spark, sf_dir)), "h")

@@ -57,6 +57,36 @@ def carry_forward(
     )
 
 
+def row_delta(
+    df: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    ts: str = TS,
+    slice_rule: str = SLICE,
+) -> DataFrame:
+    """Replace counter readings by the step from the row before; the first step is NULL."""
+    rows = df.withColumn("_slice", t.bucket_start(ts, slice_rule))
+    inside, across = _slice_windows(keys, ts)
+    stepped = rows.withColumns(
+        {
+            "_opens": F.lag(ts).over(inside).isNull(),
+            **{f"_before_{c}": F.lag(c).over(inside) for c in cols},
+        }
+    )
+    ends = rows.groupBy(*keys, "_slice").agg(*[F.max_by(c, ts).alias(f"_in_{c}") for c in cols])
+    incoming = ends.select(
+        *keys, "_slice", *[F.lag(f"_in_{c}").over(across).alias(f"_in_{c}") for c in cols]
+    )
+    before = {
+        c: F.when(F.col("_opens"), F.col(f"_in_{c}")).otherwise(F.col(f"_before_{c}")) for c in cols
+    }
+    return (
+        stepped.join(incoming, [*keys, "_slice"], "left")
+        .withColumns({c: F.col(c) - before[c] for c in cols})
+        .select(*df.columns)
+    )
+
+
 def running_total(
     df: DataFrame,
     cols: Sequence[str],

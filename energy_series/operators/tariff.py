@@ -140,19 +140,18 @@ def year_month_matrix(
     """One row per year, one column per value and month (``use_01`` ...).
 
     Labels are ``YYYY-MM``. Every year between the first and last one has a row,
-    missing months are 0; of rows with the same label the last by ``order`` wins.
+    missing months are 0. Labels are unique, or the last row of a label by ``order`` wins.
     """
     parts = F.split(label, "-")
-    order = order or label
     dated = df.withColumns({"_year": parts[0].cast("int"), "_month": parts[1].cast("int")})
     months = [(v, m, f"{v}_{m:02d}") for v in values for m in range(1, 13)]
+
+    def value(v: str, m: int) -> Column:
+        here = F.col("_month") == m
+        return F.max_by(v, F.when(here, F.col(order))) if order else F.max(F.when(here, F.col(v)))
+
     years = dated.groupBy(*keys, F.col("_year").alias("year")).agg(
-        *[
-            F.coalesce(
-                F.max_by(v, F.when(F.col("_month") == m, F.col(order))), F.lit(0)
-            ).alias(name)
-            for v, m, name in months
-        ]
+        *[F.coalesce(value(v, m), F.lit(0)).alias(name) for v, m, name in months]
     )
     by_year = Window.partitionBy(*keys).orderBy("year")
     until = F.coalesce(F.lead("year").over(by_year) - 1, F.col("year"))

@@ -148,6 +148,20 @@ def test_carry_forward_equals_brute_force(rows, data):
     )
 
 
+@LIGHT
+@given(data=series)
+def test_row_delta_equals_brute_force(rows, data):
+    base = at("2024-02-28 00:00:00")
+    data = [(s, base + dt.timedelta(minutes=m), v) for m, v, s in data]
+    want = pd.DataFrame(data, columns=["site_id", TS, "x"]).sort_values(["site_id", TS])
+    want["x"] = want["x"].astype("float64")
+    want["x"] = want.groupby("site_id")["x"].diff()
+    got = frame(ordered.row_delta(rows(READ, data), ["x"]))
+    np.testing.assert_array_equal(
+        got["x"].to_numpy("float64", na_value=np.nan), want["x"].to_numpy()
+    )
+
+
 def test_running_total_over_slices(rows):
     data = readings([(m, m % 5) for m in range(0, 4000, 13)])
     got = frame(ordered.running_total(rows(READ, data), ["x"]))
