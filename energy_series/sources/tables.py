@@ -97,6 +97,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of this library."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def write_table(df: DataFrame, path: str, ts: str = TS, mode: str = "overwrite") -> None:
     """Write a partitioned table, replacing only the partitions ``df`` has rows for.
 
@@ -153,8 +159,7 @@ def upsert(
             merged = kept.unionByName(dated)
         merged.write.mode("overwrite").parquet(staged)
     write_table(spark.read.parquet(staged).drop(PARTITION), path, ts)
-    fs, staged_path = _file_system(spark, staged)
-    fs.delete(staged_path, True)
+    remove(spark, staged)
 
 
 def create_table(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -183,5 +188,5 @@ def newest_rows(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> Data
 
 __all__ = [
     "between", "create_table", "last_write_wins", "newest_rows", "range_scan", "read_table",
-    "retained", "upsert", "window_scan", "write_report", "write_rows_json", "write_table",
+    "remove", "retained", "upsert", "window_scan", "write_report", "write_rows_json", "write_table",
 ]

@@ -101,9 +101,10 @@ def upsert_stream(
 class LastKnown:
     """Carries the last known device readings of each site from batch to batch.
 
-    The state is a table with one row per site and batch, written before the rows
-    of the batch: a repeated batch starts from the same state. Use it as
-    ``transform`` of :func:`upsert_stream` on a stream of meter telegrams.
+    The state is a table with one row per site, written anew for each batch before
+    the rows of the batch are: a repeated batch starts from the same state. The
+    state of the batch before last is removed. Use it as ``transform`` of
+    :func:`upsert_stream` on a stream of meter telegrams.
     """
 
     def __init__(self, spark: SparkSession, state: str, keys: Sequence[str] = KEYS, ts: str = TS):
@@ -123,6 +124,8 @@ class LastKnown:
         filled = carry_forward(rows, values, self.keys, self.ts)
         newest = tables.newest_rows(filled.select(*fresh.columns), self.keys, self.ts)
         newest.write.mode("overwrite").parquet(self._path(batch_id))
+        if batch_id > 1:
+            tables.remove(self.spark, self._path(batch_id - 2))
         return ingest.meter_rows(filled.where("_fresh"), self.keys, self.ts)
 
 

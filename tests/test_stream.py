@@ -114,6 +114,7 @@ def test_last_known_readings_cross_batches(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select(*want.columns)
     assert result(got) == result(want)
     assert [r.gep for r in got.orderBy(TS).collect()] == [1000, 1000, 1000]
+    assert sorted(p.name for p in (tmp_path / "state").iterdir()) == ["batch=1", "batch=2"]
 
 
 def price_document(day, price):
