@@ -175,7 +175,7 @@ def components_of(
         (F.coalesce("alone", F.lit(0)) * num <= F.col("n") * (den - num)) & F.col("first").isNotNull()
     )
     chosen = doubtful.select(F.col("first").alias("key"), "set_id")
-    texts = docs.join(chosen, "key").select("set_id", "text")
+    texts = docs.join(chosen.hint("merge"), "key").select("set_id", "text")
     meet = candidates or _by_parts(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +200,7 @@ def components_of(
     named = classes.join(named, "set_id", "left").select(
         "set_id", F.coalesce("component_id", "first").alias("component_id")
     )
+    named = common.written(named, "named")  # so that the next join may split the rows of one class
     return keyed.join(named, "set_id", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id")
     )
@@ -207,17 +208,17 @@ def components_of(
 
 def _cluster_links(sets: DataFrame, clusters: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """``a``, ``b``: links that connect what a Jaccard join of each cluster connects."""
-    size = F.size("shingles").cast("long")
-    placed = common.written(sets.join(clusters.withColumnRenamed("node", "set_id"), "set_id"), "clusters")
+    sizes = sets.select("set_id", F.size("shingles").cast("long").alias("n")).distinct()
+    placed = clusters.withColumnRenamed("node", "set_id").join(sizes, "set_id")
     cut = placed.groupBy("root").agg(
         F.greatest(
-            F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(size) / BLOCK_SHINGLES), F.lit(1).cast("long")
+            F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1).cast("long")
         ).cast("int").alias("blocks")
     )
-    block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    dealt = placed.join(cut, "root").withColumn("own", block)
+    own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("own")
+    dealt = common.written(placed.join(cut, "root").select("root", "set_id", "blocks", own), "blocks")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = dealt.select("root", "set_id", "shingles", "own", other).select(
+    pairs = sets.join(dealt.hint("merge"), "set_id").select("root", "set_id", "shingles", "own", other).select(
         F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
         "root",
         F.least("own", "other").alias("i"),
