@@ -1,4 +1,4 @@
-"""Vocabulary files of byte-pair encoders: pre-tokens, merge ranks and byte alphabets.
+"""Vocabulary files of byte-pair encoders: merge ranks, added tokens and byte alphabets.
 
 The files are those that the tokenizers library reads; their path is a parameter and
 each Python worker opens it once.
@@ -13,10 +13,6 @@ import numpy as np
 import public_tokenizers
 import regex
 
-#: The patterns that the two kinds of files name, with the white space of Unicode.
-_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-_WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
-
 
 def path(name: str) -> str:
     return public_tokenizers.path(name)
@@ -40,8 +36,6 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.words = bool(self.suffix)
-        self.pattern = regex.compile(_WORD_LEVEL if self.words else _BYTE_LEVEL)
         self._split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
         letters = alphabet()
@@ -57,11 +51,18 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self._keys, self._ranks = keys[order], order
 
-    def pieces(self, text: str) -> list[tuple[str, bool]]:
-        """Parts of a text; the marked ones are added tokens."""
-        if "<|" not in text:
-            return [(text, False)]
-        return [(p, i % 2 == 1) for i, p in enumerate(self._split.split(text)) if p]
+    def plain(self, texts: list[str]) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
+        """The parts of the texts between added tokens, and the added tokens in them, each
+        with the number of its text."""
+        pieces, added = [], []
+        for i, text in enumerate(texts):
+            if "<|" in text:
+                parts = self._split.split(text)
+                pieces += [(p, i) for p in parts[::2]]
+                added += [(p, i) for p in parts[1::2]]
+            else:
+                pieces.append((text, i))
+        return pieces, added
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of the merge of each pair; ``n_merges`` where there is none."""

@@ -16,6 +16,7 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, common
+from . import bpe, common, pretokens
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
-KNOWN = 1 << 19  # pre-tokens that a worker remembers at a time; others are merged again
 
 
 def merged_lengths(vocabulary: bpe.Vocabulary, words: list[str]) -> np.ndarray:
@@ -61,24 +61,37 @@ def merged_lengths(vocabulary: bpe.Vocabulary, words: list[str]) -> np.ndarray:
     return out
 
 
-def count_tokens(texts: list[str], vocabulary: bpe.Vocabulary, known: dict[str, int]) -> list[int]:
-    """Tokens of each text; ``known`` keeps the counts of pre-tokens between calls."""
-    cut = []
-    for text in texts:
-        words, more = [], 0
-        for piece, added in vocabulary.pieces(text):
-            if added:
-                more += 1
-            else:
-                words += vocabulary.pattern.findall(piece)
-        cut.append((words, more))
-    new = list({w for words, _ in cut for w in words if w not in known})
-    if new:
-        if len(known) + len(new) > KNOWN:
-            known.clear()
-            new = list({w for words, _ in cut for w in words})
-        known.update(zip(new, merged_lengths(vocabulary, new).tolist(), strict=True))
-    return [sum(map(known.__getitem__, words)) + more for words, more in cut]
+class Counter:
+    """Counts the tokens of texts and remembers the counts of their pre-tokens."""
+
+    def __init__(self, file: str) -> None:
+        self.vocabulary = bpe.vocabulary(file)
+        self.memory = pretokens.Memory(self._learn, self._forget)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.merged = np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        self.merged = np.append(self.merged, merged_lengths(self.vocabulary, words))
+
+    def count(self, texts: list[str]) -> np.ndarray:
+        """The tokens of each text."""
+        pieces, added = self.vocabulary.plain(texts)
+        cut = pretokens.Cut([p for p, _ in pieces], True)
+        number = self.memory.number(cut)
+        each = pretokens.sums(self.merged[number], cut.counts)
+        owner = np.array([i for _, i in pieces], np.int64)
+        out = np.zeros(len(texts), np.int64)
+        np.add.at(out, owner, each)
+        np.add.at(out, np.array([i for _, i in added], np.int64), 1)
+        return out
+
+
+@cache
+def _counter(file: str) -> Counter:
+    """One for each worker, whose tasks share what it remembers."""
+    return Counter(file)
 
 
 def token_counts(df: DataFrame, text: str = "text", key: str = "doc_id", file: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -86,11 +99,11 @@ def token_counts(df: DataFrame, text: str = "text", key: str = "doc_id", file: s
     file = file or bpe.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = bpe.vocabulary(file), {}
+        counter = _counter(file)
         for batch in batches:
             for part in common.chunks(batch, "text"):
                 texts = part.column("text").fill_null("")
-                n = pa.array(count_tokens(texts.to_pylist(), vocabulary, known), pa.int64())
+                n = pa.array(counter.count(texts.to_pylist()), pa.int64())
                 size = pc.binary_length(texts).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("key"), size, n], ["key", "n_bytes", "n_tokens"])
 

@@ -19,9 +19,11 @@ gives an empty table.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,46 +32,61 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from . import bpe, common, pfor
+from . import bpe, common, pfor, pretokens
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 FILE_IDS = 1 << 20
-KNOWN = 1 << 19  # pre-tokens that a task remembers at a time
 FILES = "part int, file int, n_ids long, n_docs long, doc_ids array<long>, data binary"
 
 
 class Encoder:
+    """Encodes texts and remembers the ids of their pre-tokens."""
+
     def __init__(self, file: str, end: int | None) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         self.vocabulary = bpe.vocabulary(file)
         self.library = Tokenizer.from_file(file)
         self.library.no_truncation()
         self.library.no_padding()
-        self.end = b"" if end is None else np.uint32(end).tobytes()
-        self.added = {t: np.uint32(i).tobytes() for t, i in self.vocabulary.added.items()}
-        self.known: dict[str, bytes] = {}
-
-    def _words(self, text: str) -> list[str]:
-        if "<|" not in text:
-            return self.vocabulary.pattern.findall(text)
-        words: list[str] = []
-        for piece, added in self.vocabulary.pieces(text):
-            words += [piece] if added else self.vocabulary.pattern.findall(piece)
-        return words
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = [self._words(t) for t in texts]
-        words = set().union(*cut)
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = words
-        self.known.update((w, self.added[w]) for w in new & self.added.keys())
-        new = list(new - self.added.keys())
-        for w, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) + self.end for w in cut]
+        self.added = self.vocabulary.added
+        self.mark, self.mark_id = next(iter(self.added.items()))
+        self.end = [] if end is None else [end]
+        self.ids = pretokens.Ragged(np.uint32)
+        self.memory = pretokens.Memory(self._learn, self.ids.clear)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes many words in one call, parted by an added token, which cuts any text."""
+        groups = [self.mark.join(words[i : i + 256]) for i in range(0, len(words), 256)]
+        found = [e.ids for e in self.library.encode_batch(groups, add_special_tokens=False)]
+        ids = np.concatenate([np.array([*x, self.mark_id], np.uint32) for x in found])
+        ends = np.flatnonzero(ids == self.mark_id)
+        self.ids.add(ids[ids != self.mark_id], np.diff(ends, prepend=-1) - 1)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has."""
+        pieces, added = self.vocabulary.plain(texts)
+        cut = pretokens.Cut([p for p, _ in pieces], True)
+        ids, n = self.ids.gather(self.memory.number(cut))
+        n = pretokens.sums(n, cut.counts)
+        ends = np.cumsum(n)
+        owner = np.array([i for _, i in pieces], np.int64)
+        last = np.append(owner[1:] != owner[:-1], True)[: len(owner)]
+        where, what = [], []  # what follows each piece: an added token, or a text's end
+        marks = iter(added)
+        for end, closes in zip(ends.tolist(), last.tolist(), strict=True):
+            more = self.end if closes else [self.added[next(marks)[0]]]
+            where += [end] * len(more)
+            what += more
+        length = np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
+        np.add.at(length, np.array([i for _, i in added], np.int64), 1)
+        return np.insert(ids, where, np.array(what, np.uint32)), length + len(self.end)
+
+
+@cache
+def _encoder(file: str, end: int | None) -> Encoder:
+    """One for each worker, whose tasks share what it remembers."""
+    return Encoder(file, end)
 
 
 def write_files(
@@ -79,29 +96,28 @@ def write_files(
     file = file or bpe.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file, end)
+        encoder = _encoder(file, end)
         part, number = TaskContext.get().partitionId(), 0
         keys: list = []
-        blobs: list[bytes] = []
-        size = 0
+        held: list[np.ndarray] = []
+        sizes: list[int] = []
 
         def made() -> pa.RecordBatch:
-            lengths = np.array([len(b) // 4 for b in blobs], np.int64)
-            data = pfor.encode(np.frombuffer(b"".join(blobs), "<u4"), lengths)
-            row = [[part], [number], [int(lengths.sum())], [len(keys)], [keys], [data]]
+            data = pfor.encode(np.concatenate(held), np.array(sizes, np.int64))
+            row = [[part], [number], [sum(sizes)], [len(keys)], [keys], [data]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             columns = [pa.array(v, t) for v, t in zip(row, types, strict=True)]
             return pa.RecordBatch.from_arrays(columns, ["part", "file", "n_ids", "n_docs", "doc_ids", "data"])
 
         for batch in batches:
             for some in common.chunks(batch, "text"):
-                for k, b in zip(some.column("key").to_pylist(), encoder.encode(some.column("text").to_pylist()), strict=True):
-                    if keys and size + len(b) > 4 * FILE_IDS:
-                        yield made()
-                        number, keys, blobs, size = number + 1, [], [], 0
-                    keys.append(k)
-                    blobs.append(b)
-                    size += len(b)
+                ids, n = encoder.encode(some.column("text").to_pylist())
+                if keys and sum(sizes) + len(ids) > FILE_IDS:
+                    yield made()
+                    number, keys, held, sizes = number + 1, [], [], []
+                keys += some.column("key").to_pylist()
+                held.append(ids)
+                sizes += n.tolist()
         if keys:
             yield made()
 

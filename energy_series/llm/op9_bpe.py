@@ -18,17 +18,18 @@ import hashlib
 import heapq
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, common
+from . import bpe, common, pretokens
 
 VOCABULARY = "word_bpe_49k.json"
-KNOWN = 1 << 19  # words that a worker remembers at a time; others are encoded again
 CHUNK_BYTES = 1 << 22
+KNOWN = 1 << 19  # words that a worker remembers at a time
 
 
 def normalised(text: str) -> str:
@@ -95,48 +96,49 @@ def encode_words(vocabulary: bpe.Vocabulary, words: list[str]) -> list[np.ndarra
 
 
 class Encoder:
-    """Encodes texts and remembers their words: ids, how many, and what they decode to."""
+    """Encodes texts and remembers the ids of their words and what those decode to."""
 
     def __init__(self, file: str) -> None:
         self.vocabulary = bpe.vocabulary(file)
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
-
-    def words(self, text: str) -> list[str]:
-        """The words of a text; an added token is a word that begins with a blank."""
-        found: list[str] = []
-        for piece, added in self.vocabulary.pieces(text):
-            found += [" " + piece] if added else self.vocabulary.pattern.findall(normalised(piece))
-        return found
-
-    def learn(self, words: set[str]) -> None:
-        """Encodes words that are not known."""
-        added = {" " + t: i for t, i in self.vocabulary.added.items()}
+        self.memory = pretokens.Memory(self._learn, self._forget, KNOWN)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids: list[str] = []
+        self.decoded: list[str] = []
+
+    def _learn(self, words: list[str]) -> None:
         tokens = self.vocabulary.tokens
-        for w in words & added.keys():
-            self.ids[w], self.decoded[w] = str(added[w]), w[1:]
-        new = list(words - added.keys())
-        for w, ids in zip(new, encode_words(self.vocabulary, new), strict=True):
+        for ids in encode_words(self.vocabulary, words):
             ids = ids.tolist()
-            self.ids[w] = " ".join(map(str, ids))
-            self.decoded[w] = " ".join(map(tokens.__getitem__, ids))
+            self.ids.append(" ".join(map(str, ids)))
+            self.decoded.append(" ".join(map(tokens.__getitem__, ids)))
 
     def encode(self, texts: list[str]) -> list[tuple[str, int, str]]:
         """Of each text: its ids in decimal, joined by blanks, their number, and the text
         that they decode to."""
-        cut = [self.words(text) for text in texts]
-        words = set().union(*cut)
-        new = words - self.ids.keys()
-        if len(self.ids) + len(new) > KNOWN:
-            self.ids.clear()
-            self.decoded.clear()
-            new = words
-        self.learn(new)
-        out = []
-        for words in cut:
-            ids = " ".join(map(self.ids.__getitem__, words))
-            out.append((ids, ids.count(" ") + 1 if ids else 0, " ".join(map(self.decoded.__getitem__, words))))
-        return out
+        pieces, added = self.vocabulary.plain(texts)
+        cut = pretokens.Cut([normalised(p) for p, _ in pieces], False)
+        number = self.memory.number(cut).tolist()
+        rows: list[tuple[list[str], list[str]]] = [([], []) for _ in texts]
+        marks, at = iter(added), 0
+        for (_, i), n, following in zip(pieces, cut.counts.tolist(), [*pieces[1:], ("", -1)], strict=True):
+            ids, decoded = rows[i]
+            ids += map(self.ids.__getitem__, number[at : at + n])
+            decoded += map(self.decoded.__getitem__, number[at : at + n])
+            at += n
+            if following[1] == i:
+                token = next(marks)[0]
+                ids.append(str(self.vocabulary.added[token]))
+                decoded.append(token)
+        joined = [(" ".join(ids), " ".join(decoded)) for ids, decoded in rows]
+        return [(ids, ids.count(" ") + 1 if ids else 0, decoded) for ids, decoded in joined]
+
+
+@cache
+def _encoder(file: str) -> Encoder:
+    """One for each worker, whose tasks share what it remembers."""
+    return Encoder(file)
 
 
 def _digest(text: str) -> str:
@@ -149,7 +151,7 @@ def encoded(df: DataFrame, text: str = "text", key: str = "doc_id", file: str |
     file = file or bpe.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file)
+        encoder = _encoder(file)
         for batch in batches:
             for part in common.chunks(batch, "text", CHUNK_BYTES):
                 rows = encoder.encode(part.column("text").fill_null("").to_pylist())
