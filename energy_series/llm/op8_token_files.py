@@ -37,6 +37,7 @@ from . import bpe, common, pfor, pretokens
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 FILE_IDS = 1 << 20
+CHUNK_BYTES = 1 << 21
 FILES = "part int, file int, n_ids long, n_docs long, doc_ids array<long>, data binary"
 
 
@@ -58,7 +59,7 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Encodes many words in one call, parted by an added token, which cuts any text."""
         groups = [self.mark.join(words[i : i + 256]) for i in range(0, len(words), 256)]
-        found = [e.ids for e in self.library.encode_batch(groups, add_special_tokens=False)]
+        found = [e.ids for e in self.library.encode_batch_fast(groups, add_special_tokens=False)]
         ids = np.concatenate([np.array([*x, self.mark_id], np.uint32) for x in found])
         ends = np.flatnonzero(ids == self.mark_id)
         self.ids.add(ids[ids != self.mark_id], np.diff(ends, prepend=-1) - 1)
@@ -110,7 +111,7 @@ def write_files(
             return pa.RecordBatch.from_arrays(columns, ["part", "file", "n_ids", "n_docs", "doc_ids", "data"])
 
         for batch in batches:
-            for some in common.chunks(batch, "text"):
+            for some in common.chunks(batch, "text", CHUNK_BYTES):
                 ids, n = encoder.encode(some.column("text").to_pylist())
                 if keys and sum(sizes) + len(ids) > FILE_IDS:
                     yield made()

@@ -2,4 +2,51 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id, text, ('0x' || md5(text)[:15])::BIGINT AS k,
+         list_filter(string_split(regexp_replace(text, '(\n|[.!?] )', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS recs
+  FROM documents),
+rec AS (
+  SELECT r, k, generate_subscripts(recs, 1) AS i, unnest(recs) AS rec FROM raw),
+tok AS (
+  SELECT r, k, i, rec, string_split(rtrim(replace(regexp_replace(rec, '[0-9]+', '0', 'g'), chr(10), ' '), ' '), ' ') AS t FROM rec),
+leaf AS (
+  SELECT r, k, i, rec, len(t) AS n, t[:12] AS lead FROM tok),
+recurring AS (
+  SELECT n, lead, min(k) AS kept FROM (SELECT DISTINCT r, k, n, lead FROM leaf WHERE n >= 5)
+  GROUP BY n, lead HAVING min(k) < max(k) AND count(*) >= CASE WHEN n >= 8 THEN 2 ELSE 10 END),
+marked AS (
+  SELECT l.r, l.i, l.rec, c.n IS NOT NULL AND l.k <> c.kept AS gone
+  FROM leaf l LEFT JOIN recurring c ON l.n = c.n AND l.lead = c.lead),
+done AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+         coalesce(string_agg(rec, '' ORDER BY i) FILTER (NOT gone), '') AS body
+  FROM marked GROUP BY r)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+       length(coalesce(body, ''))::BIGINT AS n_chars, sha256(coalesce(body, '')) AS text_sha256
+FROM raw LEFT JOIN done USING (r)
+""",
+    "op7_decontamination": rf"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+gram AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, w[i:i + least(len(w), 10) - 1] AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+win AS (
+  SELECT r, n, i, w[i:i + n - 1] AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM gram) WHERE len(w) >= n)),
+hit AS (SELECT r, item_id, i, win.n FROM win JOIN gram ON win.g = gram.g AND win.n = gram.n),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hit) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+""",
+}

@@ -93,8 +93,8 @@ class Cut:
         longest = int(sizes.max())
         found = []
         for step in _STEPS:
-            value = (points.astype(np.uint64) + np.uint64(1)) * powers(step, longest + 1)[local + 1]
-            found.append(mix(np.add.reduceat(mix(value) if step == _STEPS[1] else value, firsts) + sizes.astype(np.uint64)))
+            value = (points + np.uint64(1)) * powers(step, longest + 1)[local + 1]
+            found.append(mix(np.add.reduceat(value, firsts) + sizes.astype(np.uint64)))
         return found[0], found[1]
 
     def strings(self, which: np.ndarray) -> list[str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_fingerprints, op3_jaccard_join, op6_token_counts, op8_token_files, op9_bpe
+from . import op1_fingerprints, op3_jaccard_join, op4_line_dedup, op6_token_counts, op7_decontamination, op8_token_files, op9_bpe
 from .common import table
 
 
@@ -18,10 +18,18 @@ def op3_jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -33,7 +41,9 @@ def op9_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints_query,
     "op3_jaccard_join": op3_jaccard_query,
+    "op4_line_dedup": op4_line_dedup_query,
     "op6_token_counts": op6_token_counts_query,
+    "op7_decontamination": op7_decontamination_query,
     "op8_token_files": op8_token_files_query,
     "op9_bpe": op9_bpe_query,
 }
