@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from energy_series.llm import op3_jaccard_join, op9_bpe
+from energy_series.llm import op3_jaccard_join, op4_line_dedup, op5_toxicity, op7_decontamination, op9_bpe
 from energy_series.llm.common import table, written
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on labelled ones, doesn't reject."""
+    model = op5_toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return op5_toxicity.accepted(docs, model)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines and sentences that recur in others, which stay in one."""
+    return op4_line_dedup.clean(docs)
+
+
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return op3_jaccard_join.one_of_each(docs)
+    """One document of each group of near copies: five words, a similarity of 0.8."""
+    return op3_jaccard_join.one_of_each(docs, size=5, similarity=(4, 5))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return op7_decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +35,10 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_stage),
     ("jaccard_join", jaccard_stage),
+    ("decontamination", decontamination_stage),
     ("bpe", encode_stage),
 ]
 

@@ -33,13 +33,14 @@ def _classes() -> np.ndarray:
 
 class Cut:
     """Pre-tokens of some texts: where each begins and ends in ``points``, the code points
-    of all texts, and how many each text has."""
+    of all texts, and how many each text has. ``spaced`` chooses the pattern: byte-level
+    (true), words (false), or anything between blanks (none)."""
 
-    def __init__(self, texts: list[str], spaced: bool) -> None:
+    def __init__(self, texts: list[str], spaced: bool | None) -> None:
         sizes = np.array([len(t) for t in texts], np.int64)
         self.points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
         ends = np.cumsum(sizes)
-        kind = _classes()[self.points]
+        kind = _classes()[self.points] if spaced is not None else np.where(self.points == 32, SPACE, LETTER).astype(np.uint8)
         starts = self._starts(kind, (ends - sizes)[sizes > 0], spaced)
         at = np.flatnonzero(starts)
         stop = np.append(at[1:], len(kind)) if len(at) else at
@@ -49,7 +50,7 @@ class Cut:
         self.begin, self.end = at, stop
         self.counts = np.diff(np.searchsorted(at, np.append(0, ends)))
 
-    def _starts(self, kind: np.ndarray, heads: np.ndarray, spaced: bool) -> np.ndarray:
+    def _starts(self, kind: np.ndarray, heads: np.ndarray, spaced: bool | None) -> np.ndarray:
         """Marks the first character of every pre-token; with ``spaced``, one blank belongs to
         what follows it and other white space is a pre-token, else white space parts."""
         n, points = len(kind), self.points
@@ -66,6 +67,8 @@ class Cut:
         if spaced:
             starts[last] = True
             starts[last[points[last] == 32] + 1] = False
+        elif spaced is None:
+            return starts
         else:
             starts |= kind == NUMBER
         quote = np.flatnonzero((points == 39) & starts & run[:n] & run[1:])

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_fingerprints, op3_jaccard_join, op4_line_dedup, op6_token_counts, op7_decontamination, op8_token_files, op9_bpe
+from . import (
+    op1_fingerprints,
+    op3_jaccard_join,
+    op4_line_dedup,
+    op5_toxicity,
+    op6_token_counts,
+    op7_decontamination,
+    op8_token_files,
+    op9_bpe,
+)
 from .common import table
 
 
@@ -22,6 +31,11 @@ def op4_line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op5_toxicity.scores(docs, op5_toxicity.trained(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -42,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints_query,
     "op3_jaccard_join": op3_jaccard_query,
     "op4_line_dedup": op4_line_dedup_query,
+    "op5_toxicity": op5_toxicity_query,
     "op6_token_counts": op6_token_counts_query,
     "op7_decontamination": op7_decontamination_query,
     "op8_token_files": op8_token_files_query,
