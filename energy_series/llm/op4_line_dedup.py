@@ -33,12 +33,12 @@ CUT = r"(?<=\n)|(?<=[.!?] )"
 
 def records(text: Column) -> Column:
     """The records of a text; together they are the text."""
-    return F.filter(F.split(text, CUT, -1), lambda r: r != "")
+    return F.array_remove(F.split(text, CUT, -1), "")
 
 
 def _leaf(record: Column) -> Column:
     """Hash of the path of a record without digits; 0 for records that cannot recur."""
-    tokens = F.split(F.rtrim(F.regexp_replace(record, "\n", " ")), " ", -1)
+    tokens = F.split(F.rtrim(record, F.lit(" \n")), " ", -1)
     path = F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
     few, many = path.bitwiseOR(F.lit(1)), path.bitwiseAND(F.lit(-2))  # the last bit tells the kinds apart
     return F.when(F.size(tokens) >= MANY_TOKENS, many).when(F.size(tokens) >= FEW_TOKENS, few).otherwise(F.lit(0))
@@ -97,12 +97,11 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
 
 def report(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_dropped``, ``n_chars`` and ``text_sha256`` of the cleaned text, of every row."""
-    body = F.coalesce(F.array_join("left", ""), F.lit(""))
-    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    return _split(df, text).select(
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
+    rows = _split(df, text).select(
         F.col(f"row.{key}").alias("doc_id"),
-        F.greatest(size("all"), F.lit(0).cast("long")).alias("n_lines"),
-        F.greatest(size("all") - size("left"), F.lit(0).cast("long")).alias("n_dropped"),
-        F.length(body).cast("long").alias("n_chars"),
-        F.sha2(body, 256).alias("text_sha256"),
+        size("all").alias("n_lines"),
+        (size("all") - size("left")).alias("n_dropped"),
+        F.coalesce(F.array_join("left", ""), F.lit("")).alias("body"),
     )
+    return rows.select("doc_id", "n_lines", "n_dropped", F.length("body").cast("long").alias("n_chars"), F.sha2("body", 256).alias("text_sha256"))

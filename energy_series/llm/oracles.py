@@ -14,7 +14,7 @@ WITH raw AS (
 rec AS (
   SELECT r, k, generate_subscripts(recs, 1) AS i, unnest(recs) AS rec FROM raw),
 tok AS (
-  SELECT r, k, i, rec, string_split(rtrim(replace(regexp_replace(rec, '[0-9]+', '0', 'g'), chr(10), ' '), ' '), ' ') AS t FROM rec),
+  SELECT r, k, i, rec, string_split(rtrim(regexp_replace(rec, '[0-9]+', '0', 'g'), ' ' || chr(10)), ' ') AS t FROM rec),
 leaf AS (
   SELECT r, k, i, rec, len(t) AS n, t[:12] AS lead FROM tok),
 recurring AS (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     op1_fingerprints,
+    op2_personal_data,
     op3_jaccard_join,
     op4_line_dedup,
     op5_toxicity,
@@ -23,6 +24,10 @@ def op1_fingerprints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_personal_data.report(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op9_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints_query,
+    "op2_personal_data": op2_personal_data_query,
     "op3_jaccard_join": op3_jaccard_query,
     "op4_line_dedup": op4_line_dedup_query,
     "op5_toxicity": op5_toxicity_query,
