@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     op1_fingerprints,
+    op10_licences,
     op2_personal_data,
     op3_jaccard_join,
     op4_line_dedup,
@@ -57,6 +58,11 @@ def op9_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_bpe.encoded(table(spark, sf_dir, "documents"), digests=True)
 
 
+def op10_licences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op10_licences.report(docs, op10_licences.trained(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints_query,
     "op2_personal_data": op2_personal_data_query,
@@ -67,4 +73,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination_query,
     "op8_token_files": op8_token_files_query,
     "op9_bpe": op9_bpe_query,
+    "op10_licences": op10_licences_query,
 }
