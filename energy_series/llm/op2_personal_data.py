@@ -154,6 +154,9 @@ def _terms(spans: DataFrame) -> DataFrame:
 def disclosing(df: DataFrame, terms: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``entity``, ``term``, ``n_both``, ``n_term``, ``n_entity`` and ``bits`` of the terms that disclose."""
     both = terms.groupBy("entity", "term").agg(F.count_distinct("text_hash").alias("n_both")).filter(F.col("n_both") >= SUPPORT)
+    # The texts that have a term near any entity are some of those that have it: already too many rule it out.
+    near = terms.groupBy("term").agg(F.count_distinct("text_hash").alias("n_near"))
+    both = both.join(near, "term").filter(F.col("n_both") >= POSTERIOR * F.col("n_near")).drop("n_near")
     both = common.written(both, "terms")
     names = both.select("term").distinct()
     size = both.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
