@@ -28,18 +28,23 @@ from . import common, setjoin, shingles
 
 PERMUTATIONS = 128
 SHINGLE = 5
-BANDS = 32
+ROWS = 4
 EMPTY = np.uint32(0xFFFFFFFF)
+MOST = 256
 _RNG = np.random.default_rng(1)
-_A = _RNG.integers(0, 1 << 63, PERMUTATIONS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, PERMUTATIONS).astype(np.uint64)
+_A = _RNG.integers(0, 1 << 63, MOST).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, MOST).astype(np.uint64)
 _BLOCK = 1 << 15
 
 
 def signatures(texts: pa.Array) -> np.ndarray:
     """One row of 128 minima (unsigned 32 bits) for each text."""
-    hashes, n = shingles.shingle_hashes(*shingles.word_hashes(*shingles.utf8(texts)), SHINGLE)
-    out = np.full((len(n), PERMUTATIONS), EMPTY, np.uint32)
+    return minima(*shingles.shingle_hashes(*shingles.word_hashes(*shingles.utf8(texts)), SHINGLE))
+
+
+def minima(hashes: np.ndarray, n: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
+    """The minima of documents with ``n`` shingles each, given one after another."""
+    out = np.full((len(n), permutations), EMPTY, np.uint32)
     docs = np.flatnonzero(n)
     starts = (np.cumsum(n) - n)[docs]
     ends = starts + n[docs]
@@ -48,7 +53,7 @@ def signatures(texts: pa.Array) -> np.ndarray:
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + _BLOCK, "right")))
         block, at = hashes[starts[i] : ends[j - 1]], starts[i:j] - starts[i]
         value = np.empty_like(block)
-        for p in range(PERMUTATIONS):
+        for p in range(permutations):
             np.multiply(block, _A[p], out=value)
             np.add(value, _B[p], out=value)
             out[docs[i:j], p] = np.minimum.reduceat(value, at) >> np.uint64(32)
@@ -68,7 +73,7 @@ def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
             for part in common.chunks(batch, "_text"):
                 sig = signatures(part.column("_text"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_key"), pa.array(_hex(sig), pa.string()), _bands(sig)], ["_key", "fingerprint", "bands"]
+                    [part.column("_key"), pa.array(_hex(sig), pa.string()), band_hashes(sig)], ["_key", "fingerprint", "bands"]
                 )
 
     kind = df.schema[key].dataType.simpleString()
@@ -78,12 +83,13 @@ def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     return out.withColumnRenamed("_key", key)
 
 
-def _bands(sig: np.ndarray) -> pa.Array:
-    rows = PERMUTATIONS // BANDS
+def band_hashes(sig: np.ndarray) -> pa.Array:
+    """One hash for each band of four places."""
+    rows, bands = ROWS, sig.shape[1] // ROWS
     weight = shingles.powers(np.uint64(0xD1342543DE82EF95), rows + 1)[1:]
-    value = (sig.reshape(len(sig), BANDS, rows).astype(np.uint64) * weight).sum(axis=2, dtype=np.uint64)
-    value = shingles.mix(value + np.arange(BANDS, dtype=np.uint64))
-    offsets = np.arange(len(sig) + 1, dtype=np.int32) * BANDS
+    value = (sig.reshape(len(sig), bands, rows).astype(np.uint64) * weight).sum(axis=2, dtype=np.uint64)
+    value = shingles.mix(value + np.arange(bands, dtype=np.uint64))
+    offsets = np.arange(len(sig) + 1, dtype=np.int32) * bands
     return pa.ListArray.from_arrays(offsets, value.ravel().view(np.int64))
 
 
@@ -95,10 +101,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
     fraction of whole numbers). Equal sets are one class, joined once for them all.
     """
 
-    def bands(texts: pa.Array, _hashes: np.ndarray, _n: np.ndarray) -> pa.Array:
-        return _bands(signatures(texts))
-
-    return setjoin.components_of(df, text, key, SHINGLE, similarity, bands)
+    return setjoin.components_of(df, text, key, SHINGLE, similarity, lambda hashes, n: band_hashes(minima(hashes, n)))
 
 
 def edited_fingerprints(df: DataFrame) -> DataFrame:

@@ -23,7 +23,6 @@ from .prefix_tree import spanning_links
 
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 1 << 19
-SAMPLE = 6  # one shingle of six is looked up elsewhere
 
 
 def _lists(values: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -43,23 +42,31 @@ def _fields(df: DataFrame, text: str, key: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
 
-def document_sets(df: DataFrame, size: int, sampled: bool) -> DataFrame:
-    """``key``, ``set_id``, ``n`` and, if ``sampled``, a sixth of the set: those shingles
-    whose hash is a multiple of six, the same for every document."""
+def document_sets(df: DataFrame, size: int, more: Callable[[np.ndarray, np.ndarray], pa.Array] | None = None) -> DataFrame:
+    """``key``, ``set_id``, ``n`` and, given ``more``, its list of numbers for each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.chunks(batch, "text"):
                 hashes, n = shingles.shingle_sets(part.column("text"), size)
                 columns = [part.column("key"), pa.array(set_ids(hashes, n).view(np.int64)), pa.array(n, pa.int64())]
-                if sampled:
-                    some = hashes % np.uint64(SAMPLE) == 0
-                    doc = np.repeat(np.arange(len(n)), n)[some]
-                    columns.append(_lists(hashes[some], np.bincount(doc, minlength=len(n))))
+                if more:
+                    columns.append(more(hashes, n))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["key", "set_id", "n"] + ["sample"] * sampled
-    return df.mapInArrow(run, "key long, set_id long, n long" + ", sample array<long>" * sampled)
+    names = ["key", "set_id", "n"] + ["more"] * bool(more)
+    return df.mapInArrow(run, "key long, set_id long, n long" + ", more array<long>" * bool(more))
+
+
+def _one_of(sample: int) -> Callable[[np.ndarray, np.ndarray], pa.Array]:
+    """The shingles whose hash is a multiple of ``sample``, the same for every document."""
+
+    def some(hashes: np.ndarray, n: np.ndarray) -> pa.Array:
+        chosen = hashes % np.uint64(sample) == 0
+        doc = np.repeat(np.arange(len(n)), n)[chosen]
+        return _lists(hashes[chosen], np.bincount(doc, minlength=len(n)))
+
+    return some
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -110,7 +117,7 @@ def _by_parts(similarity: tuple[int, int]) -> Callable:
     """
     num, den = similarity
 
-    def keys(_texts: pa.Array, hashes: np.ndarray, n: np.ndarray) -> pa.Array:
+    def keys(hashes: np.ndarray, n: np.ndarray) -> pa.Array:
         bounds = [1]
         while bounds[-1] <= max(n.max(initial=0), 1):
             bounds.append(bounds[-1] * den // num + 1)
@@ -146,52 +153,67 @@ def _by_parts(similarity: tuple[int, int]) -> Callable:
     return keys
 
 
+def _shingles(docs: DataFrame, chosen: DataFrame, size: int, meet: Callable | None = None) -> DataFrame:
+    """``set_id``, ``shingles`` and, with ``meet``, ``meets`` of the texts whose ``key`` and ``set_id`` are chosen."""
+    texts = docs.join(chosen.hint("merge"), "key").select("set_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.chunks(batch, "text"):
+                hashes, n = shingles.shingle_sets(part.column("text"), size)
+                ids = pa.array(set_ids(hashes, n).view(np.int64))
+                same = pc.equal(ids, part.column("set_id"))  # a key that repeats has other texts, too
+                out = [ids, _lists(hashes, n)] + ([meet(hashes, n)] if meet else [])
+                yield pa.RecordBatch.from_arrays(out, names).filter(same)
+
+    names = ["set_id", "shingles"] + ["meets"] * bool(meet)
+    return texts.mapInArrow(run, "set_id long, shingles array<long>" + ", meets array<long>" * bool(meet))
+
+
+def _meetings(meets: DataFrame) -> DataFrame:
+    """The clusters of sets (``set_id``) that share a key (``m``), through the least set of each key."""
+    stars = meets.groupBy("m").agg(F.min("set_id").alias("b"), F.max("set_id").alias("c")).filter("b < c")
+    return components(meets.join(stars, "m").select(F.col("set_id").alias("a"), "b").filter("a <> b").distinct())
+
+
 def components_of(
     df: DataFrame,
     text: str,
     key: str,
     size: int,
     similarity: tuple[int, int],
-    candidates: Callable[[pa.Array, np.ndarray, np.ndarray], pa.Array] | None = None,
+    candidates: Callable[[np.ndarray, np.ndarray], pa.Array] | None = None,
 ) -> DataFrame:
     """``key``, ``n_shingles``, ``component_id``: documents whose sets of ``size``-word
     shingles have a Jaccard similarity of ``num / den`` or more link, and the smallest key
     that links reach names the component. Empty sets link with nothing.
 
-    ``candidates`` gives each set its meeting keys; without it, keys by parts find every
-    linked pair. Rows that repeat a key are one document each; a null key has the
-    component of its set, or null.
+    ``candidates`` gives each set a few meeting keys. Without it, keys by parts find every linked
+    pair; they are many for low similarities. Rows that repeat a key are one document each; a
+    null key has the component of its set, or null.
     """
     num, den = similarity
     docs = _fields(df, text, key)
-    keyed = common.written(document_sets(docs, size, False), "sets")
+    keyed = common.written(document_sets(docs, size, candidates), "sets")
     classes = keyed.filter("n > 0").groupBy("set_id").agg(F.min("key").alias("first"), F.first("n").alias("n"))
-
-    # A set that links has at most n * (1 - s) / s shingles that occur in no other set.
-    sampled = document_sets(docs, size, True).select("set_id", F.explode("sample").alias("h"))
-    alone = sampled.groupBy("h").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).filter("a = b")
-    alone = alone.groupBy(F.col("a").alias("set_id")).agg(F.count("*").alias("alone"))
-    doubtful = classes.join(alone, "set_id", "left").filter(
-        (F.coalesce("alone", F.lit(0)) * num <= F.col("n") * (den - num)) & F.col("first").isNotNull()
-    )
-    chosen = doubtful.select(F.col("first").alias("key"), "set_id")
-    texts = docs.join(chosen.hint("merge"), "key").select("set_id", "text")
-    meet = candidates or _by_parts(similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in common.chunks(batch, "text"):
-                hashes, n = shingles.shingle_sets(part.column("text"), size)
-                ids = pa.array(set_ids(hashes, n).view(np.int64))
-                same = pc.equal(ids, part.column("set_id"))  # a key that repeats has other texts, too
-                out = [ids, _lists(hashes, n), meet(part.column("text"), hashes, n)]
-                yield pa.RecordBatch.from_arrays(out, ["set_id", "shingles", "meets"]).filter(same)
-
-    sets = common.written(texts.mapInArrow(run, "set_id long, shingles array<long>, meets array<long>"), "shingles")
-    meets = sets.select("set_id", F.explode("meets").alias("m"))
-    stars = meets.groupBy("m").agg(F.min("set_id").alias("b"), F.max("set_id").alias("c")).filter("b < c")
-    edges = meets.join(stars, "m").select(F.col("set_id").alias("a"), "b").filter("a <> b").distinct()
-    links = _cluster_links(sets.select("set_id", "shingles"), components(edges), similarity)
+    firsts = classes.filter("first is not null").select("set_id", F.col("first").alias("key"))
+    if candidates:
+        clusters = _meetings(keyed.filter("n > 0 and key is not null").select("set_id", F.explode("more").alias("m")))
+        clusters = common.written(clusters, "clusters")
+        chosen = firsts.join(clusters.select(F.col("node").alias("set_id")), "set_id", "left_semi")
+        sets = common.written(_shingles(docs, chosen, size), "shingles")
+    else:
+        # A set that links has at most n * (1 - s) / s shingles that occur in no other set, and
+        # half as many again are looked up.
+        sample = max(1, 2 * num // (3 * (den - num)))
+        sampled = document_sets(docs, size, _one_of(sample)).select("set_id", F.explode("more").alias("h"))
+        alone = sampled.groupBy("h").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).filter("a = b")
+        alone = alone.groupBy(F.col("a").alias("set_id")).agg(F.count("*").alias("alone"))
+        doubtful = classes.join(alone, "set_id", "left").filter(F.coalesce("alone", F.lit(0)) * num <= F.col("n") * (den - num))
+        sets = _shingles(docs, firsts.join(doubtful.select("set_id"), "set_id"), size, _by_parts(similarity))
+        sets = common.written(sets, "shingles")
+        clusters = _meetings(sets.select("set_id", F.explode("meets").alias("m")))
+    links = _cluster_links(sets.select("set_id", "shingles"), clusters, similarity)
     linked = components(links)
 
     member = linked.join(classes.select(F.col("set_id").alias("node"), "first"), "node")
@@ -201,7 +223,7 @@ def components_of(
         "set_id", F.coalesce("component_id", "first").alias("component_id")
     )
     named = common.written(named, "named")  # so that the next join may split the rows of one class
-    return keyed.join(named, "set_id", "left").select(
+    return keyed.select("key", "set_id", "n").join(named, "set_id", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id")
     )
 
