@@ -6,6 +6,8 @@ import re
 
 COUNTERS = ("exp", "imp", "gen", "gep", "evn", "evp")
 
+_MARKET = "CASE WHEN site_id < '4' THEN 'NL' ELSE 'BE' END"
+
 # Common table expressions; a statement gets those it names, directly or not.
 VIEWS: dict[str, str] = {
     "ev": """
@@ -25,8 +27,8 @@ VIEWS: dict[str, str] = {
         WINDOW w AS (PARTITION BY site_id ORDER BY sample_time)""",
     "v_production": """
         SELECT site_id, sample_time, wh * (1 + id % 2) AS solar FROM ev WHERE kind = 'view'""",
-    "v_prices": """
-        SELECT 'NL' AS market_id, time_bucket(INTERVAL 15 MINUTE, sample_time) AS sample_time,
+    "v_prices": f"""
+        SELECT {_MARKET} AS market_id, time_bucket(INTERVAL 15 MINUTE, sample_time) AS sample_time,
                CAST(max(value) / 1000 AS DECIMAL(9,5)) AS exact,
                CAST(CAST(max(value) / 1000 AS DECIMAL(9,5)) AS DOUBLE) AS price
         FROM ev GROUP BY ALL""",
@@ -76,12 +78,12 @@ VIEWS: dict[str, str] = {
                           sum(solar) AS solar FROM v_production GROUP BY ALL) s
         ON s.site_id = g.site_id AND s.b = g.b""",
     "q_prices": """
-        SELECT 'NL' AS market_id, g.b AS sample_time,
-               last_value(p.exact IGNORE NULLS) OVER (ORDER BY g.b) AS exact
-        FROM (SELECT unnest(generate_series(min(sample_time), max(sample_time),
-                                            INTERVAL 15 MINUTE)) AS b FROM v_prices) g
-        LEFT JOIN v_prices p ON p.sample_time = g.b""",
-    "q_energy": """
+        SELECT g.market_id, g.b AS sample_time,
+               last_value(p.exact IGNORE NULLS) OVER (PARTITION BY g.market_id ORDER BY g.b) AS exact
+        FROM (SELECT market_id, unnest(generate_series(min(sample_time), max(sample_time),
+                                            INTERVAL 15 MINUTE)) AS b FROM v_prices GROUP BY 1) g
+        LEFT JOIN v_prices p ON p.sample_time = g.b AND p.market_id = g.market_id""",
+    "q_energy": f"""
         SELECT m.site_id, m.sample_time, gep AS deliver,
                CASE WHEN gep < solar THEN gep - solar ELSE -solar END AS storage,
                gen AS charge, exp AS sell, greatest(exp + gep + evp, 0) AS own_use, imp AS buy,
@@ -90,7 +92,7 @@ VIEWS: dict[str, str] = {
                gen * units AS dyn_buy_euro, evn * units AS ev_cost
         FROM q_mains m JOIN q_production p USING (site_id, sample_time)
         JOIN (SELECT *, CAST(exact * 100000000 AS BIGINT) AS units FROM q_prices) r
-        USING (sample_time)""",
+        ON r.sample_time = m.sample_time AND r.market_id = {_MARKET.replace("site_id", "m.site_id")}""",
 }
 
 _KWH = "CAST({x} AS DOUBLE) * CAST(0.001 AS DOUBLE) AS {c}"
@@ -141,11 +143,11 @@ def _bands(low: int, high: int, limit: str, source: str = "v_prices") -> str:
                CASE WHEN NOT past AND dear THEN price END AS highest
         FROM (SELECT *, {limit} AS lim,
                      sample_time < TIMESTAMP '2024-01-15 12:00:00' AS past,
-                     row_number() OVER (PARTITION BY d ORDER BY exact, sample_time) <= {low} AS cheap,
-                     row_number() OVER (PARTITION BY d ORDER BY exact DESC, sample_time) <= {high}
+                     row_number() OVER (PARTITION BY market_id, d ORDER BY exact, sample_time) <= {low} AS cheap,
+                     row_number() OVER (PARTITION BY market_id, d ORDER BY exact DESC, sample_time) <= {high}
                          AS dear
               FROM (SELECT *, date_trunc('day', sample_time) AS d FROM {source})
-              WINDOW w AS (PARTITION BY d))"""
+              WINDOW w AS (PARTITION BY market_id, d))"""
 
 
 # A sum of decimals is exact; the mean of a day is compared through it.
@@ -316,12 +318,13 @@ _STATEMENTS: dict[str, str] = {
     "prices_raw_fill": """
         SELECT market_id, sample_time,
                last_value(CASE WHEN hour(sample_time) % 5 <> 0 THEN price END IGNORE NULLS)
-                   OVER (ORDER BY sample_time) AS price
+                   OVER (PARTITION BY market_id ORDER BY sample_time) AS price
         FROM v_prices""",
     "series_join": f"""
         SELECT m.*, p.solar, CAST(r.exact AS DOUBLE) AS price
         FROM q_mains m JOIN q_production p USING (site_id, sample_time)
-        JOIN q_prices r USING (sample_time)""",
+        JOIN q_prices r
+        ON r.sample_time = m.sample_time AND r.market_id = {_MARKET.replace("site_id", "m.site_id")}""",
     "energy_quarters": f"""
         SELECT site_id, sample_time, {", ".join(ENERGY)}, {_shown(MONEY, x="{c}")} FROM q_energy""",
     "trend_pv_day": _frame(_DAY, ("deliver", "storage", "charge")),
@@ -536,6 +539,31 @@ _STATEMENTS: dict[str, str] = {
                      lead(sample_time) OVER (PARTITION BY site_id ORDER BY sample_time) AS gap_end
               FROM ev)
         WHERE gap_end - gap_start > INTERVAL 15 MINUTE""",
+    "gap_open": """
+        SELECT site_id, gap_start, gap_end,
+               (epoch_us(gap_end) - epoch_us(gap_start) - 1) // 900000000 AS missing
+        FROM (SELECT site_id, sample_time AS gap_start,
+                     coalesce(lead(sample_time) OVER (PARTITION BY site_id ORDER BY sample_time),
+                              TIMESTAMP '2024-02-05 00:00:00') AS gap_end
+              FROM ev)
+        WHERE gap_end - gap_start > INTERVAL 15 MINUTE""",
+    "backfill_open": """
+        SELECT site_id, gap_start, gap_end, CAST(k AS INTEGER) AS attempt, s AS start_at,
+               date_trunc('day', s - to_hours(CASE WHEN k = 0 THEN 24 ELSE 2 END)) AS request_from,
+               date_trunc('day', s + INTERVAL 1 DAY) AS request_to
+        FROM (SELECT *, least(gap_start + to_days(CAST(k AS INTEGER)),
+                              TIMESTAMP '2024-02-05 00:00:00') AS s
+              FROM (SELECT *, unnest(range(greatest(date_diff('day', gap_start, gap_end), 1))) AS k
+                    FROM (SELECT site_id, sample_time AS gap_start,
+                                 coalesce(lead(sample_time) OVER (PARTITION BY site_id ORDER BY sample_time),
+                                          TIMESTAMP '2024-02-05 00:00:00') AS gap_end
+                          FROM ev)
+                    WHERE gap_end - gap_start > INTERVAL 1 DAY))""",
+    "upsert_merge": """
+        SELECT site_id, time_bucket(INTERVAL 15 MINUTE, sample_time) AS sample_time,
+               arg_max(kind, CASE WHEN id % 3 = 0 THEN id + 1000000000000 ELSE id END) AS kind,
+               arg_max(wh, CASE WHEN id % 3 = 0 THEN id + 1000000000000 ELSE id END) AS wh
+        FROM ev GROUP BY 1, 2""",
     "backfill_plan": """
         SELECT user_id, gap_start, gap_end, CAST(k AS INTEGER) AS attempt, s AS start_at,
                date_trunc('day', s - to_hours(CASE WHEN k = 0 THEN 24 ELSE 2 END)) AS request_from,

@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BANDS_AS_OF = "2024-01-15 12:00:00"
+OPEN_UNTIL = "2024-02-05 00:00:00"
 TREND_AS_OF = "2024-01-31 00:00:00"
 
 
@@ -116,11 +117,13 @@ def _quarters(spark, sf_dir) -> DataFrame:
 def series_join(spark, sf_dir):
     """The three resampled series joined slot by slot."""
     source = v.tables(spark, sf_dir)
-    return join.energy_join(
-        quarter.mains_wh(source.mains, holes=False),
+    joined = join.energy_join(
+        join.with_market(quarter.mains_wh(source.mains, holes=False), source.sites),
         quarter.production_wh(source.production),
         quarter.price_quarters(source.prices),
+        price_keys=["market_id"],
     )
+    return joined.drop("market_id")
 
 
 @query
@@ -491,6 +494,19 @@ def upsert_last_wins(spark, sf_dir):
     return tables.last_write_wins(writes, "seq")
 
 
+@query
+def upsert_merge(spark, sf_dir):
+    """Two batches in one table: the second replaces, adds and repeats rows."""
+    writes = _ev(spark, sf_dir).select(
+        "site_id", t.bucket_start(TS, "15min").alias(TS), "kind", "wh", F.col("id").alias("seq")
+    )
+    shared = compaction.shared_folder(spark, "upsert_merge")
+    later = F.col("seq") % 3 == 0
+    for batch, rows in enumerate((writes.where(~later), writes.where(later).unionAll(writes.where(later)))):
+        tables.upsert(rows, f"{shared}/table", f"{shared}/staging", batch, "seq")
+    return spark.read.parquet(f"{shared}/table").select("site_id", TS, "kind", "wh")
+
+
 @query
 def stream_compact(spark, sf_dir):
     """The compaction as a stream over the event file, upserted into a table."""
@@ -518,6 +534,18 @@ def gap_islands(spark, sf_dir):
     return gaps.gaps(_ev(spark, sf_dir))
 
 
+@query
+def gap_open(spark, sf_dir):
+    """Holes with the one after each site's newest sample."""
+    return gaps.gaps(_ev(spark, sf_dir), as_of=OPEN_UNTIL)
+
+
+@query
+def backfill_open(spark, sf_dir):
+    holes = gaps.gaps(_ev(spark, sf_dir), "d", as_of=OPEN_UNTIL)
+    return gaps.backfill_plan(holes, OPEN_UNTIL)
+
+
 @query
 def backfill_plan(spark, sf_dir):
     users = v.read(spark, sf_dir, "events").select("user_id", F.col("ts").alias(TS))

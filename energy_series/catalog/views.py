@@ -1,6 +1,6 @@
 """The domain tables, derived from the star-schema and event test tables.
 
-``events`` plays the meters of eight sites on one market, ``orders`` the two
+``events`` plays the meters of eight sites on two markets, ``orders`` the two
 tariffs, ``lineitem`` long counters. Every view reads the whole table.
 """
 
@@ -15,8 +15,8 @@ from ..functions import time as t
 from ..operators.ordered import running_total
 from ..plans.trend import Tables
 
-# Market of a site; all sites of the test tables are on the first one.
-MARKET_OF_SITE = "CASE WHEN site_id < '8' THEN 'NL' ELSE 'BE' END"
+# Market of a site.
+MARKET_OF_SITE = "CASE WHEN site_id < '4' THEN 'NL' ELSE 'BE' END"
 
 
 SCHEMAS = {
@@ -93,6 +93,11 @@ def prices(events: DataFrame) -> DataFrame:
     return events.groupBy(market, t.bucket_start(TS, "15min").alias(TS)).agg(price.alias("price"))
 
 
+def sites(events: DataFrame) -> DataFrame:
+    """The market of each site."""
+    return events.select("site_id", F.expr(MARKET_OF_SITE).alias("market_id")).distinct()
+
+
 def battery(events: DataFrame) -> DataFrame:
     ev = events.where("kind = 'error'")
     return ev.select(
@@ -102,7 +107,7 @@ def battery(events: DataFrame) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     ev = site_events(spark, sf_dir)
-    return Tables(mains(ev), production(ev), prices(ev), battery(ev))
+    return Tables(mains(ev), production(ev), prices(ev), battery(ev), sites(ev))
 
 
 def meter_telegrams(events: DataFrame) -> DataFrame:

@@ -16,11 +16,11 @@ PRICE_UNITS = 100_000_000
 
 
 def numeric(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Every text column outside ``keep`` becomes DOUBLE, unreadable text becomes NULL."""
+    """Every text column outside ``keep`` becomes DOUBLE, unreadable text and NaN become NULL."""
     kept = set(keep)
     return df.select(
         *[
-            F.col(f.name).try_cast("double").alias(f.name)
+            F.nanvl(F.col(f.name).try_cast("double"), F.lit(None)).alias(f.name)
             if f.name not in kept and isinstance(f.dataType, T.StringType)
             else F.col(f.name)
             for f in df.schema.fields

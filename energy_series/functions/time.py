@@ -92,7 +92,10 @@ def bucket_start(ts: str, rule: str) -> Column:
     if rule in ("month", "year"):
         return F.expr(f"CAST(trunc(CAST({ts} AS DATE), '{rule}') AS TIMESTAMP_NTZ)")
     width = STEPS[rule]
-    return F.expr(f"{_EPOCH} + ((({ts}) - {_EPOCH}) DIV {width}) * {width}")
+    # DIV cuts towards zero; before the epoch a time inside a bucket is one bucket earlier.
+    since = f"(({ts}) - {_EPOCH})"
+    back = f"CAST({since} < ({since} DIV {width}) * {width} AS INT)"
+    return F.expr(f"{_EPOCH} + (({since} DIV {width}) - {back}) * {width}")
 
 
 def bucket_label(start: str, rule: str) -> Column:

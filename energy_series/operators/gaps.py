@@ -16,9 +16,13 @@ def latest_point(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> Dat
     return df.groupBy(*keys).agg(F.max(ts).alias("latest"))
 
 
-def gaps(df: DataFrame, rule: str = "15min", keys: Sequence[str] = KEYS, ts: str = TS) -> DataFrame:
+def gaps(
+    df: DataFrame, rule: str = "15min", keys: Sequence[str] = KEYS, ts: str = TS, as_of=None
+) -> DataFrame:
     """Stretches longer than one step of ``rule`` without a sample.
 
+    With ``as_of``, the stretch after the newest sample of a key ends there.
+
     Two samples in the same step-wide cell cannot be that far apart, so only the
     first and last sample of each cell matter: rows are combined before the shuffle.
     """
@@ -30,8 +34,10 @@ def gaps(df: DataFrame, rule: str = "15min", keys: Sequence[str] = KEYS, ts: str
     )
     ordered = Window.partitionBy(*keys).orderBy("_cell")
     wide = "(gap_end - gap_start)"
+    closing = F.lit(None).cast("timestamp_ntz") if as_of is None else F.expr(t.wall(as_of))
     return (
-        cells.select(*keys, "gap_start", F.lead("_from").over(ordered).alias("gap_end"))
+        cells.select(*keys, "gap_start", F.lead("_from").over(ordered).alias("_next"))
+        .select(*keys, "gap_start", F.coalesce("_next", closing).alias("gap_end"))
         .where(f"{wide} > {t.step(rule)}")
         .withColumn("missing", F.expr(f"({wide} - {t.MICROSECOND}) DIV {t.step(rule)}"))
     )

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..columns import KEYS, TS
+from ..columns import KEYS, MARKET, TS
+
+
+def with_market(series: DataFrame, sites: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Add the market of each site from a table of sites; a site without one is an error."""
+    missing = F.raise_error(F.lit("a site has no market"))
+    found = series.join(sites.select(*keys, *MARKET).distinct(), list(keys), "left")
+    return found.withColumns({m: F.coalesce(F.col(m), missing) for m in MARKET})
 
 
 def with_prices(
@@ -16,14 +23,19 @@ def with_prices(
     """Add the price of each slot; slots without a price are left out.
 
     Prices belong to a market, not to a site, and hold one row per market and
-    slot. ``price_keys`` names the columns of ``series`` that identify the market.
-    Without them there is one market, so the price side is bounded by the calendar
-    (35,040 slots or about 1 MB a year) and is broadcast. With several markets its
-    size is not known here; adaptive execution broadcasts it when its measured
-    size allows and shuffles it otherwise.
+    slot. ``price_keys`` names the columns of ``series`` that identify the market
+    (see :func:`with_market`). Without them there must be one market: a second one in
+    the price table is an error, since each slot would meet the prices of both. The
+    size of the price side is not known here; adaptive execution broadcasts it when
+    its measured size allows and shuffles it otherwise.
     """
     market = prices.select(*price_keys, ts, "price")
-    return series.join(market if price_keys else F.broadcast(market), [*price_keys, ts], "inner")
+    if not price_keys and MARKET[0] in prices.columns:
+        id_ = MARKET[0]
+        several = F.raise_error(F.lit("prices of several markets need price_keys or sites"))
+        price = F.when(F.min(id_).eqNullSafe(F.max(id_)), F.max("price")).otherwise(several)
+        market = prices.groupBy(ts).agg(price.alias("price"))
+    return series.join(market, [*price_keys, ts], "inner")
 
 
 def energy_join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..columns import COUNTERS, KEYS, MARKET, TS
@@ -13,7 +13,7 @@ from ..functions import energy as e
 from ..functions import time as t
 from ..operators.counters import consumption, slice_readings
 from ..operators.grid import fill_slots, label_buckets, resample
-from ..operators.join import with_prices
+from ..operators.join import with_market, with_prices
 from ..operators.shape import tail
 from ..sources.tables import window_scan
 from . import quarter
@@ -21,19 +21,21 @@ from . import quarter
 
 @dataclass(frozen=True)
 class Tables:
-    """The four stored tables."""
+    """The four stored tables and, where prices have several markets, the market of each site."""
 
     mains: DataFrame
     production: DataFrame
     prices: DataFrame
     battery: DataFrame
+    sites: DataFrame | None = None
 
     def window(self, as_of, hours: int, ts: str = TS) -> Tables:
         return Tables(
             *(
                 window_scan(df, as_of, hours, ts)
                 for df in (self.mains, self.production, self.prices, self.battery)
-            )
+            ),
+            self.sites,
         )
 
 
@@ -136,6 +138,8 @@ def energy_quarters(
     metered = metered_quarters(tables.mains, tables.production, keys, ts, holes)
     prices = quarter.price_quarters(tables.prices, keys=price_keys or MARKET, ts=ts)
     units = prices.withColumn("price", e.price_units(F.col("price")))
+    if tables.sites is not None and not price_keys:
+        metered, price_keys = with_market(metered, tables.sites, keys), MARKET
     joined = with_prices(metered, units, price_keys, ts)
     col, price = F.col, F.col("price")
     own = e.own_use(col("exp"), col("gep"), col("evp"))
@@ -157,6 +161,11 @@ def energy_quarters(
     )
 
 
+def total(column: str) -> Column:
+    """Sum of a column; money in a type that a region's years of slots do not overflow."""
+    return F.sum(F.col(column).cast("decimal(28,0)") if column in _MONEY else column)
+
+
 def aggregate_quarters(
     quarters: DataFrame,
     rule: str,
@@ -170,7 +179,7 @@ def aggregate_quarters(
     need no grid of their own.
     """
     summed = quarters.groupBy(*keys, t.bucket_start(ts, rule).alias(ts)).agg(
-        *[F.sum(c).alias(c) for c in columns]
+        *[total(c).alias(c) for c in columns]
     )
     shown = summed.select(
         *keys, ts, *[(e.euro(c) if c in _MONEY else e.kwh(c)).alias(c) for c in columns]
@@ -242,9 +251,9 @@ def trend_preset(
 def totals(quarters: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Money over the whole window: avoided cost, export earnings, buy imbalance, sum."""
     sums = quarters.groupBy(*keys).agg(
-        F.sum("own_use_euro").alias("own"),
-        F.sum("sell_euro").alias("exp"),
-        F.sum("dyn_buy_euro").alias("buy"),
+        total("own_use_euro").alias("own"),
+        total("sell_euro").alias("exp"),
+        total("dyn_buy_euro").alias("buy"),
     )
     return sums.select(
         *keys,

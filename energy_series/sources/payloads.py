@@ -54,17 +54,26 @@ def parsed(df: DataFrame, kind: str, text: str = "payload") -> DataFrame:
     return df.select(*rest, doc).select(*rest, "_doc.*")
 
 
-def _price_items(payloads: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _both_days() -> Column:
+    """The items of today and tomorrow in a price document."""
     info = F.get("data.viewer.homes", F.lit(0))["currentSubscription"]["priceInfo"]
     nothing = F.expr("CAST(array() AS array<struct<startsAt: string, total: string>>)")
-    both = F.concat(F.coalesce(info["today"], nothing), F.coalesce(info["tomorrow"], nothing))
-    items = payloads.select(*keys, F.explode(both).alias("item"))
+    return F.concat(F.coalesce(info["today"], nothing), F.coalesce(info["tomorrow"], nothing))
+
+
+def price_document_rejects(payloads: DataFrame, keys: Sequence[str] = MARKET) -> DataFrame:
+    """The documents without any item, such as those that could not be parsed, for a quarantine table."""
+    return payloads.where(F.size(_both_days()) == 0).select(*keys)
+
+
+def _price_items(payloads: DataFrame, keys: Sequence[str]) -> DataFrame:
+    items = payloads.select(*keys, F.explode(_both_days()).alias("item"))
     return items.select(
         *keys,
         F.col("item.startsAt").alias("starts_at"),
         F.col("item.total").alias("total"),
         t.parse_wall("item.startsAt").alias(TS),
-        F.col("item.total").try_cast("double").alias("price"),
+        F.nanvl(F.col("item.total").try_cast("double"), F.lit(None)).alias("price"),
     )
 
 
@@ -82,28 +91,59 @@ def price_rows(payloads: DataFrame, keys: Sequence[str] = MARKET) -> DataFrame:
 
 
 def price_rejects(payloads: DataFrame, keys: Sequence[str] = MARKET) -> DataFrame:
-    """The items :func:`price_rows` leaves out, for a quarantine table."""
+    """The items :func:`price_rows` leaves out, for a quarantine table; documents without
+    items are :func:`price_document_rejects`."""
     return _price_items(payloads, keys).where(~_usable_price()).select(*keys, "starts_at", "total")
 
 
 def solar_rows(payloads: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``production`` rows from solar documents; a missing value is 0 Wh."""
-    items = payloads.select(*keys, F.explode("energy.values").alias("item"))
-    value = F.coalesce(F.col("item.value").try_cast("double"), F.lit(0.0))
+    items = _solar_items(payloads, keys).where(F.col(TS).isNotNull())
     return items.select(
-        *keys, t.parse_wall("item.date").alias(TS), value.cast("bigint").alias("solar")
-    ).select(*keys, TS, t.epoch_seconds(TS).alias("sample_epoch"), "solar")
+        *keys, TS, t.epoch_seconds(TS).alias("sample_epoch"), value_or_zero("value").alias("solar")
+    )
 
 
-def charger_rows(totals: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Charger minute totals in joule to kWh and mean watt; absent hour or minute is 0."""
-    energy = ("exp", "imp", "gen", "gep", "h1b", "h1d")
+def value_or_zero(text: str) -> Column:
+    """Whole number of a text; absent, unreadable or not a number is 0."""
+    return F.coalesce(F.nanvl(F.col(text).try_cast("double"), F.lit(0.0)), F.lit(0.0)).try_cast("bigint")
+
+
+def _solar_items(payloads: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Items of solar documents; a document without items is one item without fields."""
+    items = payloads.select(*keys, F.explode_outer("energy.values").alias("item"))
+    return items.select(
+        *keys,
+        F.col("item.date").alias("date"),
+        F.col("item.value").alias("value"),
+        t.parse_wall("item.date").alias(TS),
+    )
+
+
+def solar_rejects(payloads: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The items and whole documents :func:`solar_rows` leaves out, for a quarantine table."""
+    return _solar_items(payloads, keys).where(F.col(TS).isNull()).select(*keys, "date", "value")
+
+
+def _charger_time() -> Column:
+    """The minute of a total; NULL where its date does not exist."""
     zero = F.lit(0)
-    at = F.call_function(
-        "make_timestamp_ntz",
+    return F.call_function(
+        "try_make_timestamp_ntz",
         "yr", "mon", "dom", F.coalesce("hr", zero), F.coalesce("min", zero), zero,
     )
-    return totals.select(
+
+
+def charger_rejects(totals: DataFrame) -> DataFrame:
+    """The documents :func:`charger_rows` leaves out, for a quarantine table."""
+    return totals.where(_charger_time().isNull())
+
+
+def charger_rows(totals: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Charger minute totals in joule to kWh and mean watt; absent hour or minute is 0."""
+    energy = ("exp", "imp", "gen", "gep", "h1b", "h1d")
+    at = _charger_time()
+    return totals.where(at.isNotNull()).select(
         *keys,
         at.alias(TS),
         *[(F.col(c) / JOULE_PER_KWH).alias(f"{c}_kwh") for c in energy],

@@ -80,10 +80,12 @@ def last_write_wins(
     """One row per key, the one with the highest ``sequence``.
 
     Older copies are discarded before the shuffle, so many copies of one key do
-    not meet in one task. The sequence is not part of the result.
+    not meet in one task. The sequence is not part of the result; rows with an equal one
+    are told apart by their values, and a row without one loses to any other.
     """
     rest = [c for c in df.columns if c not in (*keys, sequence)]
-    newest = F.max_by(F.struct(*rest), sequence).alias("_row")
+    order = F.struct(F.col(sequence).isNotNull(), F.col(sequence), F.struct(*rest))
+    newest = F.max_by(F.struct(*rest), order).alias("_row")
     return df.groupBy(*keys).agg(newest).select(*keys, "_row.*")
 
 
@@ -139,8 +141,9 @@ def upsert(
     ``staging/batch=<batch>``; when a crash interrupts the publication, repeating the
     same batch publishes that copy again instead of reading a half-replaced table.
     The copy is removed afterwards. Repeating a finished batch changes nothing.
-    Within one batch the highest ``sequence`` wins; without a sequence the keys of a
-    batch must be unique.
+    Within one batch the highest ``sequence`` wins, and of rows with an equal one or
+    without any the one with the greatest values. Rows with a NULL in a key belong to no
+    partition and are an error; readers keep them apart as rejects.
     """
     spark = rows.sparkSession
     staged = f"{staging.rstrip('/')}/batch={batch}"
@@ -149,8 +152,14 @@ def upsert(
         days = [r[0] for r in dated.select(PARTITION).distinct().collect()]
         if not days:
             return
+        if None in days or not dated.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty():
+            raise ValueError("rows with a NULL key cannot be stored")
+        rest = [c for c in dated.columns if c != sequence]
         if sequence:
             dated = last_write_wins(dated, sequence, keys)
+        else:
+            dated = last_write_wins(dated.withColumn("_none", F.lit(0)), "_none", keys)
+        dated = dated.select(*rest)
         merged = dated
         if _exists(spark, path):
             stored = spark.read.schema(dated.schema).parquet(path)
