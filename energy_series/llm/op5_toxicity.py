@@ -44,6 +44,7 @@ POWER = 3
 BENT = 40  # words with inserted characters for each landmark, at least
 HARD = 20_000  # words of other texts, those that resemble a landmark most
 COST = 1000.0
+MANY = 10_000  # words whose kernel values are worked out at a time
 CHANCE = 1e-6  # of a beginning that is no sign of toxicity to become a landmark
 BEGIN, END = "\x02", "\x03"
 DECAY = 0.5
@@ -221,7 +222,8 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         positive += [pieces(w)[0] for w in [*some, *bent]]
         cost += [1 / (2 * len(some))] * len(some) + [1 / (2 * len(bent))] * len(bent)
     negative = sorted({p for s in clean for w in s for p in pieces(w)})
-    near, far = landmarks.kernel(positive), landmarks.kernel(negative)
+    near = landmarks.kernel(positive)
+    far = np.vstack([landmarks.kernel(negative[i : i + MANY]) for i in range(0, len(negative), MANY)] or [near[:0]])
     hard = np.argsort(-far.max(axis=1), kind="stable")[:HARD]
     among = np.cbrt(landmarks.kernel(landmarks.strings))
     norm = np.sqrt([np.sum(triples([x])[2] ** 2) for x in landmarks.strings])
