@@ -28,12 +28,19 @@ DEPTH = 12
 #: Tokens from which a template may recur, and the documents that takes.
 FEW_TOKENS, FEW_DOCUMENTS = 5, 10
 MANY_TOKENS, MANY_DOCUMENTS = 8, 2
+MARK = "\u0001"
 CUT = r"(?<=\n)|(?<=[.!?] )"
 
 
 def records(text: Column) -> Column:
-    """The records of a text; together they are the text."""
-    return F.array_remove(F.split(text, CUT, -1), "")
+    """The records of a text; together they are the text. Marks put where ``CUT`` matches, by
+    plain replacement, part most texts faster than the pattern, which serves those that have
+    the mark."""
+    marked = text
+    for end in ("\n", ". ", "! ", "? "):
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    parts = F.when(F.instr(text, MARK) > 0, F.split(text, CUT, -1)).otherwise(F.split(marked, MARK, -1))
+    return F.array_remove(parts, "")
 
 
 def _leaf(record: Column) -> Column:
