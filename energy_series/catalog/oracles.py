@@ -191,6 +191,14 @@ def _balance(import_lo, export_lo, import_hi, export_hi, own) -> str:
                {export_lo} AS export_lo, {export_hi} AS export_hi, {own} AS own FROM v_tariff"""
 
 
+def _ends(sign: str) -> str:
+    return f"""
+        SELECT site_id, CAST(n - from_end AS INTEGER) AS i, v FROM (
+            SELECT site_id, from_end, max(from_end) OVER (PARTITION BY site_id) AS n,
+                   CAST(coalesce(u.v, 0) {sign} coalesce(s.v, 0) AS DOUBLE) AS v
+            FROM used_end u FULL JOIN sold_end s USING (site_id, from_end))"""
+
+
 def _matrix() -> str:
     cells = ", ".join(
         f"coalesce(max({v}) FILTER (month = {m}), 0) AS {v}_{m:02d}"
@@ -203,18 +211,24 @@ def _matrix() -> str:
         LEFT JOIN v_months m ON m.site_id = g.site_id AND m.year = g.year GROUP BY ALL"""
 
 
+VIEWS["v_account"] = """
+    SELECT CAST(o_custkey AS VARCHAR) AS site_id, strftime(o_orderdate, '%Y-%m') AS label,
+           o_orderkey % 2 = 1 AS feed, CAST(round(o_totalprice * 100) AS BIGINT) AS cents
+    FROM orders"""
+VIEWS["used"] = """
+    SELECT site_id, label, CAST(sum(cents) AS BIGINT) AS v FROM v_account WHERE NOT feed GROUP BY ALL"""
+VIEWS["sold"] = """
+    SELECT site_id, label, CAST(sum(cents) AS BIGINT) AS v FROM v_account WHERE feed GROUP BY ALL"""
 VIEWS["v_months"] = """
     SELECT site_id, CAST(label[1:4] AS INTEGER) AS year, CAST(label[6:7] AS INTEGER) AS month,
-           ilo + ihi AS use, xlo + xhi AS expo
-    FROM v_tariff WHERE label NOT LIKE '1997%' AND label NOT LIKE '%-05'"""
-VIEWS["used"] = "SELECT site_id, label, ilo AS v FROM v_tariff"
-VIEWS["sold"] = "SELECT site_id, label, xlo AS v FROM v_tariff WHERE label >= '1996-07'"
+           u.v AS use, s.v AS expo
+    FROM used u FULL JOIN sold s USING (site_id, label)"""
 VIEWS["used_end"] = """
     SELECT site_id, v, row_number() OVER (PARTITION BY site_id ORDER BY label DESC) AS from_end
     FROM used"""
 VIEWS["sold_end"] = """
     SELECT site_id, v, row_number() OVER (PARTITION BY site_id ORDER BY label DESC) AS from_end
-    FROM sold WHERE label <= '2001-03'"""
+    FROM sold"""
 VIEWS["q_soc"] = """
     SELECT site_id, time_bucket(INTERVAL 15 MINUTE, sample_time) AS b, avg(soc) AS soc
     FROM v_battery GROUP BY ALL"""
@@ -440,14 +454,8 @@ _STATEMENTS: dict[str, str] = {
         SELECT site_id, CAST(from_end AS INTEGER) AS from_end,
                greatest(coalesce(u.v, 0) - coalesce(s.v, 0), 0) AS v
         FROM used_end u FULL JOIN sold_end s USING (site_id, from_end)""",
-    "contract_arrays": """
-        SELECT site_id, CAST(n - from_end AS INTEGER) AS i, v FROM (
-            SELECT site_id, from_end, max(from_end) OVER (PARTITION BY site_id) AS n,
-                   CAST(coalesce(u.v, 0) + coalesce(s.v, 0) AS DOUBLE) AS v
-            FROM used_end u FULL JOIN (
-                SELECT site_id, v,
-                       row_number() OVER (PARTITION BY site_id ORDER BY label DESC) AS from_end
-                FROM sold) s USING (site_id, from_end))""",
+    "contract_arrays": _ends("+"),
+    "distract_arrays": _ends("-"),
     "zip_shortest": """
         SELECT site_id, label, u.v AS use, s.v AS expo
         FROM used u JOIN sold s USING (site_id, label)""",
@@ -583,6 +591,9 @@ _STATEMENTS: dict[str, str] = {
               FROM ev)""",
 }
 _STATEMENTS["stream_compact"] = _STATEMENTS["compact_meter"]
+_STATEMENTS["trend_table_day_holes"] = _STATEMENTS["trend_table_day"]
+VIEWS["v_translated"] = _STATEMENTS["meter_translate"]
+_STATEMENTS["stream_meter_pipeline"] = _STATEMENTS["compact_meter"].replace("v_samples", "v_translated")
 VIEWS["two_days"] = """
     SELECT * FROM v_prices WHERE sample_time BETWEEN TIMESTAMP '2024-01-15 00:00:00'
                                                  AND TIMESTAMP '2024-01-17 01:00:00'"""

@@ -14,7 +14,7 @@ from ..functions import time as t
 from ..operators import counters, gaps, grid, ingest, interpolate, join, ordered, prices, shape, tariff
 from ..plans import bands, historic, quarter, trend
 from ..sources import payloads, tables
-from ..streaming import compaction
+from ..streaming import compaction, meters
 from . import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,12 @@ def trend_table_day(spark, sf_dir):
     return trend.trend_table(v.tables(spark, sf_dir), "d", holes=False)
 
 
+@query
+def trend_table_day_holes(spark, sf_dir):
+    """The same by the path that allows for missing readings, the default."""
+    return trend.trend_table(v.tables(spark, sf_dir), "d")
+
+
 @query
 def trend_totals(spark, sf_dir):
     return trend.totals(_quarters(spark, sf_dir))
@@ -341,43 +347,33 @@ def tail_periods(spark, sf_dir):
 # --- tariffs ----------------------------------------------------------------------
 
 
-def _series(spark, sf_dir):
-    months = v.tariff(spark, sf_dir)
-    used = months.select("site_id", "label", F.col("ilo").alias("v"))
-    sold = months.select("site_id", "label", F.col("xlo").alias("v"))
-    return used, sold.where("label >= '1996-07'")
-
-
 @query
 def contract(spark, sf_dir):
-    return tariff.contract(*_series(spark, sf_dir))
+    return tariff.contract(*v.account_months(spark, sf_dir))
 
 
 @query
 def distract(spark, sf_dir):
-    return tariff.distract(*_series(spark, sf_dir))
+    return tariff.distract(*v.account_months(spark, sf_dir))
 
 
 @query
 def distract_signed(spark, sf_dir):
-    return tariff.distract(*_series(spark, sf_dir), allow_negatives=True)
+    return tariff.distract(*v.account_months(spark, sf_dir), allow_negatives=True)
 
 
 @query
 def contract_aligned(spark, sf_dir):
-    used, sold = _series(spark, sf_dir)
-    return tariff.contract_aligned(used, sold.where("label <= '2001-03'"))
+    return tariff.contract_aligned(*v.account_months(spark, sf_dir))
 
 
 @query
 def distract_aligned(spark, sf_dir):
-    used, sold = _series(spark, sf_dir)
-    return tariff.distract_aligned(used, sold.where("label <= '2001-03'"))
+    return tariff.distract_aligned(*v.account_months(spark, sf_dir))
 
 
-@query
-def contract_arrays(spark, sf_dir):
-    """The same as arrays of one value per month, of unequal length."""
+def _arrays(spark, sf_dir):
+    """Arrays of one value per month of a customer (no longer than the calendar), of unequal length."""
 
     def as_array(series: DataFrame, name: str) -> DataFrame:
         months = F.array_sort(
@@ -385,15 +381,27 @@ def contract_arrays(spark, sf_dir):
         )
         return series.groupBy("site_id").agg(months["v"].alias(name))
 
-    used, sold = _series(spark, sf_dir)
-    both = as_array(used, "a").join(as_array(sold, "b"), "site_id")
+    used, sold = v.account_months(spark, sf_dir)
+    both = as_array(used, "a").join(as_array(sold, "b"), "site_id", "full")
+    nothing = F.array().cast("array<double>")
+    return both.withColumns({c: F.coalesce(c, nothing) for c in ("a", "b")})
+
+
+@query
+def contract_arrays(spark, sf_dir):
     added = tariff.contract_arrays(F.col("a"), F.col("b"))
-    return both.select("site_id", F.posexplode(added).alias("i", "v"))
+    return _arrays(spark, sf_dir).select("site_id", F.posexplode(added).alias("i", "v"))
+
+
+@query
+def distract_arrays(spark, sf_dir):
+    less = tariff.distract_arrays(F.col("a"), F.col("b"), allow_negatives=True)
+    return _arrays(spark, sf_dir).select("site_id", F.posexplode(less).alias("i", "v"))
 
 
 @query
 def zip_shortest(spark, sf_dir):
-    used, sold = _series(spark, sf_dir)
+    used, sold = v.account_months(spark, sf_dir)
     return tariff.zip_shortest(
         used.withColumnRenamed("v", "use"), sold.withColumnRenamed("v", "expo")
     )
@@ -416,14 +424,11 @@ def balance_dual_accumulated(spark, sf_dir):
 
 @query
 def year_month_matrix(spark, sf_dir):
-    months = v.tariff(spark, sf_dir).select(
-        "site_id",
-        "label",
-        (F.col("ilo") + F.col("ihi")).alias("use"),
-        (F.col("xlo") + F.col("xhi")).alias("expo"),
+    used, sold = v.account_months(spark, sf_dir)
+    months = used.withColumnRenamed("v", "use").join(
+        sold.withColumnRenamed("v", "expo"), ["site_id", "label"], "full"
     )
-    sparse = months.where("label not like '1997%' and label not like '%-05'")
-    return tariff.year_month_matrix(sparse)
+    return tariff.year_month_matrix(months)
 
 
 # --- ingest -------------------------------------------------------------------------
@@ -521,6 +526,20 @@ def stream_compact(spark, sf_dir):
     return spark.read.parquet(f"{shared}/mains").drop(tables.PARTITION)
 
 
+@query
+def stream_meter_pipeline(spark, sf_dir):
+    """Telegrams in three deliveries, each over the whole time, to compacted rows."""
+    shared = compaction.shared_folder(spark, "stream_meter_pipeline")
+    telegrams = v.meter_telegrams(_ev(spark, sf_dir).withColumn("delivery", F.col("id") % 3), "delivery")
+    for delivery in range(3):
+        part = telegrams.where(F.col("delivery") == delivery).drop("delivery")
+        part.write.mode("append").parquet(f"{shared}/landed")
+        landed = spark.readStream.schema(part.schema).parquet(f"{shared}/landed")
+        meters.meter_pipeline(landed, f"{shared}/mains", f"{shared}/work").awaitTermination()
+    rows = spark.read.parquet(f"{shared}/mains").drop(tables.PARTITION)
+    return rows.withColumns({c: F.col(c).cast("double") for c in COUNTERS})
+
+
 # --- gaps -----------------------------------------------------------------------------
 
 

@@ -110,7 +110,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(mains(ev), production(ev), prices(ev), battery(ev), sites(ev))
 
 
-def meter_telegrams(events: DataFrame) -> DataFrame:
+def meter_telegrams(events: DataFrame, *more: str) -> DataFrame:
     """One telegram per event. A device is silent for one kind of event."""
 
     def device(silent: str, shift: int):
@@ -131,6 +131,7 @@ def meter_telegrams(events: DataFrame) -> DataFrame:
         device("click", 1).alias("ev"),
         device("view", 2).alias("pv"),
         device("error", 3).alias("p1"),
+        *more,
     )
 
 
@@ -180,6 +181,19 @@ def tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def account_months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Cents bought and sold per customer and month; months without orders are missing."""
+    o = read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("site_id"),
+        t.strftime("o_orderdate", "%Y-%m").alias("label"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        (F.col("o_orderkey") % 2 == 1).alias("sold"),
+    )
+    value = F.sum("cents").alias("v")
+    used, sold = (o.where(c).groupBy("site_id", "label").agg(value) for c in ("NOT sold", "sold"))
+    return used, sold
+
+
 def counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running total of shipped quantity per return flag, one reading per day."""
     daily = (

@@ -6,6 +6,10 @@ into one window. Rows are cut into time slices: a window runs inside each
 whole site (its size is bounded by the calendar), and the result is joined back
 on ``(keys, slice)``, for which the rows are already partitioned.
 
+Rows and slice ends come from one scan and one shuffle: both read rows dealt to their
+slices. Key and slice are one struct, ``_part``, which is never NULL; a join on nullable
+columns would put a filter below one side only, and the scan would be done twice.
+
 The tables are keyed by site and second, so a slice of an hour holds at most
 3,600 rows of a site.
 """
@@ -23,9 +27,22 @@ from ..functions import time as t
 SLICE = "h"
 
 
-def _slice_windows(keys: Sequence[str], ts: str):
-    inside = Window.partitionBy(*keys, "_slice").orderBy(ts)
-    across = Window.partitionBy(*keys).orderBy("_slice")
+def _sliced(
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str], ts: str, slice_rule: str
+) -> DataFrame:
+    """Rows with their ``_part``, dealt to slices if ``df`` has no other columns than needed.
+
+    With others the ends are aggregated before a shuffle of their own, which is smaller
+    than the rows.
+    """
+    part = F.struct(*keys, t.bucket_start(ts, slice_rule).alias("_slice"))
+    rows = df.withColumn("_part", part)
+    return rows.repartition("_part") if set(df.columns) == {*keys, ts, *cols} else rows
+
+
+def _windows(keys: Sequence[str], ts: str):
+    inside = Window.partitionBy("_part").orderBy(ts)
+    across = Window.partitionBy(*keys).orderBy("_part")
     return inside, across
 
 
@@ -37,21 +54,20 @@ def carry_forward(
     slice_rule: str = SLICE,
 ) -> DataFrame:
     """Replace NULLs by the last known value of the key; leading NULLs stay."""
-    rows = df.withColumn("_slice", t.bucket_start(ts, slice_rule))
-    inside, across = _slice_windows(keys, ts)
+    rows = _sliced(df, cols, keys, ts, slice_rule)
+    inside, across = _windows(keys, ts)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
-    last_known = rows.groupBy(*keys, "_slice").agg(
+    last_known = rows.groupBy(*keys, "_part").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_in_{c}") for c in cols]
     )
     incoming = last_known.select(
-        *keys,
-        "_slice",
+        "_part",
         *[F.last(f"_in_{c}", ignorenulls=True).over(before).alias(f"_in_{c}") for c in cols],
     )
     return (
-        filled.join(incoming, [*keys, "_slice"], "left")
+        filled.join(incoming, "_part", "left")
         .withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols})
         .select(*df.columns)
     )
@@ -65,23 +81,23 @@ def row_delta(
     slice_rule: str = SLICE,
 ) -> DataFrame:
     """Replace counter readings by the step from the row before; the first step is NULL."""
-    rows = df.withColumn("_slice", t.bucket_start(ts, slice_rule))
-    inside, across = _slice_windows(keys, ts)
+    rows = _sliced(df, cols, keys, ts, slice_rule)
+    inside, across = _windows(keys, ts)
     stepped = rows.withColumns(
         {
             "_opens": F.lag(ts).over(inside).isNull(),
             **{f"_before_{c}": F.lag(c).over(inside) for c in cols},
         }
     )
-    ends = rows.groupBy(*keys, "_slice").agg(*[F.max_by(c, ts).alias(f"_in_{c}") for c in cols])
+    ends = rows.groupBy(*keys, "_part").agg(*[F.max_by(c, ts).alias(f"_in_{c}") for c in cols])
     incoming = ends.select(
-        *keys, "_slice", *[F.lag(f"_in_{c}").over(across).alias(f"_in_{c}") for c in cols]
+        "_part", *[F.lag(f"_in_{c}").over(across).alias(f"_in_{c}") for c in cols]
     )
     before = {
         c: F.when(F.col("_opens"), F.col(f"_in_{c}")).otherwise(F.col(f"_before_{c}")) for c in cols
     }
     return (
-        stepped.join(incoming, [*keys, "_slice"], "left")
+        stepped.join(incoming, "_part", "left")
         .withColumns({c: F.col(c) - before[c] for c in cols})
         .select(*df.columns)
     )
@@ -95,17 +111,20 @@ def running_total(
     slice_rule: str = SLICE,
 ) -> DataFrame:
     """Replace increments by their running total per key (increments to counters)."""
-    rows = df.withColumn("_slice", t.bucket_start(ts, slice_rule))
-    inside, across = _slice_windows(keys, ts)
+    rows = _sliced(df, cols, keys, ts, slice_rule)
+    inside, _ = _windows(keys, ts)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
     summed = rows.withColumns({c: F.sum(c).over(upto) for c in cols})
-    totals = rows.groupBy(*keys, "_slice").agg(*[F.sum(c).alias(f"_in_{c}") for c in cols])
+    # Slices are ordered by their first row, so that the ends need the columns that the rows need.
+    totals = rows.groupBy(*keys, "_part").agg(
+        F.min(ts).alias("_at"), *[F.sum(c).alias(f"_in_{c}") for c in cols]
+    )
+    before = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     incoming = totals.select(
-        *keys, "_slice", *[F.sum(f"_in_{c}").over(before).alias(f"_in_{c}") for c in cols]
+        "_part", *[F.sum(f"_in_{c}").over(before).alias(f"_in_{c}") for c in cols]
     )
     return (
-        summed.join(incoming, [*keys, "_slice"], "left")
+        summed.join(incoming, "_part", "left")
         .withColumns({c: F.col(c) + F.coalesce(F.col(f"_in_{c}"), F.lit(0)) for c in cols})
         .select(*df.columns)
     )

@@ -94,7 +94,7 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
 
@@ -124,6 +124,26 @@ def write_table(df: DataFrame, path: str, ts: str = TS, mode: str = "overwrite")
     )
 
 
+def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table that :func:`upsert` keeps, with the columns of ``like`` and its dates."""
+    layout = like.withColumn(PARTITION, F.lit(None).cast("date")).schema
+    return spark.read.schema(layout).parquet(path)
+
+
+def _staged(staging: str, batch: int | str) -> str:
+    return f"{staging.rstrip('/')}/batch={batch}"
+
+
+def resume(spark: SparkSession, path: str, staging: str, batch: int | str, ts: str = TS) -> bool:
+    """Publish what a batch staged before it was cut off; False if there is nothing."""
+    staged = _staged(staging, batch)
+    if not exists(spark, f"{staged}/_SUCCESS"):
+        return False
+    write_table(spark.read.parquet(staged).drop(PARTITION), path, ts)
+    remove(spark, staged)
+    return True
+
+
 def upsert(
     rows: DataFrame,
     path: str,
@@ -146,29 +166,29 @@ def upsert(
     partition and are an error; readers keep them apart as rejects.
     """
     spark = rows.sparkSession
-    staged = f"{staging.rstrip('/')}/batch={batch}"
-    if not _exists(spark, f"{staged}/_SUCCESS"):
-        dated = rows.withColumn(PARTITION, F.col(ts).cast("date"))
-        days = [r[0] for r in dated.select(PARTITION).distinct().collect()]
-        if not days:
-            return
-        if None in days or not dated.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty():
-            raise ValueError("rows with a NULL key cannot be stored")
-        rest = [c for c in dated.columns if c != sequence]
-        if sequence:
-            dated = last_write_wins(dated, sequence, keys)
-        else:
-            dated = last_write_wins(dated.withColumn("_none", F.lit(0)), "_none", keys)
-        dated = dated.select(*rest)
-        merged = dated
-        if _exists(spark, path):
-            stored = spark.read.schema(dated.schema).parquet(path)
-            touched = stored.where(F.col(PARTITION).isin(days))
-            kept = touched.join(dated.select(*keys), list(keys), "left_anti")
-            merged = kept.unionByName(dated)
-        merged.write.mode("overwrite").parquet(staged)
-    write_table(spark.read.parquet(staged).drop(PARTITION), path, ts)
-    remove(spark, staged)
+    if resume(spark, path, staging, batch, ts):
+        return
+    dated = rows.withColumn(PARTITION, F.col(ts).cast("date"))
+    unkeyed = F.max(F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys)))
+    found = dated.groupBy(PARTITION).agg(unkeyed).collect()
+    days = [day for day, _ in found]
+    if not days:
+        return
+    if None in days or any(bad for _, bad in found):
+        raise ValueError("rows with a NULL key cannot be stored")
+    rest = [c for c in dated.columns if c != sequence]
+    if sequence:
+        dated = last_write_wins(dated, sequence, keys)
+    else:
+        dated = last_write_wins(dated.withColumn("_none", F.lit(0)), "_none", keys)
+    dated = dated.select(*rest)
+    merged = dated
+    if exists(spark, path):
+        touched = stored(spark, path, dated.drop(PARTITION)).where(F.col(PARTITION).isin(days))
+        kept = touched.join(dated.select(*keys), list(keys), "left_anti")
+        merged = kept.unionByName(dated)
+    merged.write.mode("overwrite").parquet(_staged(staging, batch))
+    resume(spark, path, staging, batch, ts)
 
 
 def create_table(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -196,6 +216,7 @@ def newest_rows(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = TS) -> Data
 
 
 __all__ = [
-    "between", "create_table", "last_write_wins", "newest_rows", "range_scan", "read_table",
-    "remove", "retained", "upsert", "window_scan", "write_report", "write_rows_json", "write_table",
+    "between", "create_table", "exists", "last_write_wins", "newest_rows", "range_scan", "read_table",
+    "remove", "resume", "retained", "stored", "upsert", "window_scan", "write_report",
+    "write_rows_json", "write_table",
 ]

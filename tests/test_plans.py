@@ -10,7 +10,7 @@ import __spark_entry__ as registry
 import check
 from energy_series.catalog import views as v
 from energy_series.catalog.queries import QUERIES
-from energy_series.operators import counters, grid
+from energy_series.operators import counters, grid, ordered
 from energy_series.plans import trend
 from energy_series.sources import tables
 
@@ -71,6 +71,18 @@ def test_energy_table_shuffles_raw_rows_and_quarter_hours_once(spark, tmp_path):
     assert "SortMergeJoin" in meters and "sample_date" in plan
 
 
+def test_ordered_operators_read_and_shuffle_their_rows_once(spark):
+    ev = v.site_events(spark, SMALL).select("site_id", v.TS, "wh")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for operator in (ordered.carry_forward, ordered.row_delta, ordered.running_total):
+            plan = physical(operator(ev, ["wh"]))
+            raw = plan.split("ReusedExchange")
+            assert len(raw) == 2 and plan.count("FileScan") == 1, plan
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_resample_aggregates_before_its_first_shuffle(spark):
     ev = v.site_events(spark, SMALL)
     plan = physical(grid.resample(ev, "h", sums=["wh"]))
