@@ -6,7 +6,9 @@ check is dropped. Each found value is a protected entity. The letters-only words
 three words of an entity, in the same line, are terms of it. Over all documents, a term
 discloses an entity if at least ``SUPPORT`` different texts have them together, if at least
 ``POSTERIOR`` of the texts that have the term have it next to the entity, and if their
-pointwise mutual information, log2(n_both * N / (n_term * n_entity)), reaches ``BITS``. Terms that disclose
+pointwise mutual information, log2(n_both * N / (n_term * n_entity)), reaches ``REVEALED`` of the
+entity's own bits, log2(N / n_entity), which a term that is always next to it has. So neither small tables nor
+frequent entities rule terms out; of an entity that every text has, no term tells anything. Terms that disclose
 an entity are spans beside it, and ``sanitised`` puts a kind's name in the place of every span.
 DataFrame expressions only: patterns run once over each text, places come from window sums
 over the found parts, and only words that are some entity's term are counted.
@@ -37,7 +39,7 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"\p{L}{4,}"
 NEAR_WORDS, NEAR_CHARS = 3, 48
-SUPPORT, POSTERIOR, BITS = 2, 0.5, 6.0
+SUPPORT, POSTERIOR, REVEALED = 2, 0.5, 0.5
 BROADCAST_BYTES = 32 << 20
 _MARK = "\u0001"
 
@@ -169,7 +171,9 @@ def disclosing(df: DataFrame, terms: DataFrame, text: str = "text", key: str = "
     total = texts.agg(F.count_distinct("text_hash")).first()[0]
     found = both.join(n_term, "term").join(n_entity, "entity")
     bits = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    return found.withColumn("bits", bits).filter((F.col("bits") >= BITS) & (F.col("n_both") >= POSTERIOR * F.col("n_term")))
+    own = F.log2(F.lit(float(total)) / F.col("n_entity"))
+    reveals = (F.col("bits") > 0) & (F.col("bits") >= REVEALED * own) & (F.col("n_both") >= POSTERIOR * F.col("n_term"))
+    return found.withColumn("bits", bits).filter(reveals)
 
 
 def all_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -286,6 +286,23 @@ def test_terms_disclose_and_are_replaced(docs):
     assert clean[10] == rows[4][1] and clean[99] is None
 
 
+def term_spans(rows, report):
+    """The terms that a report has as spans, by doc_id."""
+    texts = dict(rows)
+    parts = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x.startswith("term")] for r in report.collect()}
+    return {i: [texts[i][int(s) : int(e)] for _, s, e in p] for i, p in parts.items()}
+
+
+def test_terms_of_a_tiny_table_and_of_a_frequent_entity_disclose(docs):
+    tiny = [(i, f"{'abc'[i] * 5} here the wizardname joe@x.org") for i in range(3)] + [(10 + i, f"here the {'pqrstu'[i] * 5}") for i in range(6)]
+    found = term_spans(tiny, op2_personal_data.report(docs(tiny)))
+    assert all(found[i] == ["wizardname"] for i in range(3)) and not any(found[10 + i] for i in range(6))
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:05}")
+    third = [(i, f"{word(i)} from this wizardname joe@x.org" if i % 3 == 0 else f"this came from {word(i)}") for i in range(300)]
+    found = term_spans(third, op2_personal_data.report(docs(third)))
+    assert all(found[i] == (["wizardname"] if i % 3 == 0 else []) for i in range(300))
+
+
 LONG = " ".join(f"token{i}" for i in range(60)) + "."
 
 
