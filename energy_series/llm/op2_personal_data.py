@@ -9,7 +9,8 @@ discloses an entity if at least ``SUPPORT`` different texts have them together,
 pointwise mutual information, log2(n_both * N / (n_term * n_entity)), reaches ``REVEALED`` of the
 entity's own bits, log2(N / n_entity), which a term that is always next to it has. So neither small tables nor
 frequent entities rule terms out; of an entity that every text has, no term tells anything. Terms that disclose
-an entity are spans beside it, and ``sanitised`` puts a kind's name in the place of every span.
+an entity are spans wherever they stand, in all texts, unless inside a base span, and ``sanitised`` puts a
+kind's name in the place of every span.
 DataFrame expressions only: patterns run once over each text, places come from window sums
 over the found parts, and only words that are some entity's term are counted.
 
@@ -153,19 +154,23 @@ def _terms(spans: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_hash", "entity", "w.term", F.col("w.start").alias("start"), (F.col("w.start") + F.col("w.length")).alias("end"))
 
 
-def disclosing(df: DataFrame, terms: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``entity``, ``term``, ``n_both``, ``n_term``, ``n_entity`` and ``bits`` of the terms that disclose."""
+def _small(rows: DataFrame, size: Column) -> DataFrame:
+    """``rows`` to join with: broadcast if their ``size`` allows."""
+    there = rows.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(rows) if there <= BROADCAST_BYTES else rows.hint("merge")
+
+
+def _disclosing(texts: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``disclosing`` returns, and ``text_hash`` and ``term`` of the texts that have a term in question."""
     both = terms.groupBy("entity", "term").agg(F.count_distinct("text_hash").alias("n_both")).filter(F.col("n_both") >= SUPPORT)
     # The texts that have a term near any entity are some of those that have it: already too many rule it out.
     near = terms.groupBy("term").agg(F.count_distinct("text_hash").alias("n_near"))
     both = both.join(near, "term").filter(F.col("n_both") >= POSTERIOR * F.col("n_near")).drop("n_near")
     both = common.written(both, "terms")
-    names = both.select("term").distinct()
-    size = both.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
-    names = F.broadcast(names) if size <= BROADCAST_BYTES else names.hint("merge")
-    texts = _keyed(df, text, key)
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1))
-    each = texts.select("text_hash", F.explode(words).alias("term")).filter(F.length("term") >= 4).join(names, "term")
+    names = _small(both.select("term").distinct(), F.octet_length("term") + 32)
+    words = F.array_distinct(F.split("text", r"[^\p{L}]+", -1))
+    each = texts.select("text_hash", F.explode(words).alias("word")).select("text_hash", F.lower("word").alias("term"))
+    each = common.written(each.filter(F.length("term") >= 4).join(names, "term").select("text_hash", "term"), "words")
     n_term = each.groupBy("term").agg(F.count_distinct("text_hash").alias("n_term"))
     n_entity = terms.groupBy("entity").agg(F.count_distinct("text_hash").alias("n_entity"))
     total = texts.agg(F.count_distinct("text_hash")).first()[0]
@@ -173,7 +178,29 @@ def disclosing(df: DataFrame, terms: DataFrame, text: str = "text", key: str = "
     bits = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
     own = F.log2(F.lit(float(total)) / F.col("n_entity"))
     reveals = (F.col("bits") > 0) & (F.col("bits") >= REVEALED * own) & (F.col("n_both") >= POSTERIOR * F.col("n_term"))
-    return found.withColumn("bits", bits).filter(reveals)
+    return found.withColumn("bits", bits).filter(reveals), each
+
+
+def disclosing(df: DataFrame, terms: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``entity``, ``term``, ``n_both``, ``n_term``, ``n_entity`` and ``bits`` of the terms that disclose."""
+    return _disclosing(_keyed(df, text, key), terms)[0]
+
+
+def _places(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``start`` and ``end`` of the words of every text that are in its ``terms``."""
+    words = F.transform(
+        _parts(F.col("text"), TERM),
+        lambda p: F.when(F.array_contains("terms", F.lower(p)), F.concat(F.lit(_MARK), p, F.lit(_MARK))).otherwise(p),
+    )
+    rows = texts.join(hits, "text_hash").select("doc_id", "text_hash", F.split(F.array_join(words, ""), _MARK, -1).alias("parts"))
+    at = F.sequence(F.lit(1), F.size("parts") - 1, F.lit(2))
+    lengths = F.transform(
+        at, lambda i: F.struct(F.length(F.get("parts", i - 1)).alias("gap"), F.length(F.get("parts", i)).alias("length"))
+    )
+    rows = rows.filter("size(parts) > 1").select("doc_id", "text_hash", F.posexplode(lengths).alias("i", "x"))
+    rows = rows.select("doc_id", "text_hash", "i", "x.*").distinct()  # equal rows of the input have equal places
+    end = F.sum(F.col("gap") + F.col("length")).over(Window.partitionBy("doc_id", "text_hash").orderBy("i"))
+    return rows.withColumn("end", end).select("doc_id", "text_hash", (F.col("end") - F.col("length")).alias("start"), "end")
 
 
 def all_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -181,11 +208,17 @@ def all_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     a disclosing term's kind follows the others."""
     base = common.written(base_spans(df, text, key), "spans")
     terms = common.written(_terms(base), "near")
-    strong = disclosing(df, terms, text, key).select("entity", "term")
-    more = terms.join(strong, ["entity", "term"]).select("doc_id", "text_hash", "start", F.lit(len(KINDS)).alias("kind"), "end").distinct()
-    every = base.select("doc_id", "text_hash", F.col("start").cast("int"), "kind", F.col("end").cast("int")).unionByName(
-        more.select("doc_id", "text_hash", "start", "kind", "end")
-    )
+    texts = _keyed(df, text, key)
+    strong, each = _disclosing(texts, terms)
+    strong = common.written(strong.select("term").distinct(), "strong")
+    hits = each.join(_small(strong, F.octet_length("term") + 32), "term").groupBy("text_hash").agg(F.collect_set("term").alias("terms"))
+    hits = common.written(hits, "hits")
+    more = _places(texts, _small(hits, F.octet_length(F.array_join("terms", "")) + 32 * F.size("terms") + 32))
+    fields = lambda rows, kind: rows.select("doc_id", "text_hash", F.col("start").cast("int"), kind.alias("kind"), F.col("end").cast("int"))
+    every = fields(base, F.col("kind")).unionByName(fields(more, F.lit(len(KINDS))))
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    masked = F.max(F.when(F.col("kind") < len(KINDS), F.col("end"))).over(before)
+    every = every.withColumn("masked", masked).filter((F.col("kind") < len(KINDS)) | F.col("masked").isNull() | (F.col("end") > F.col("masked")))
     spans = F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")
     return every.groupBy("doc_id", "text_hash").agg(spans)
 

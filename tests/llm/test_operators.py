@@ -303,6 +303,15 @@ def test_terms_of_a_tiny_table_and_of_a_frequent_entity_disclose(docs):
     assert all(found[i] == (["wizardname"] if i % 3 == 0 else []) for i in range(300))
 
 
+def test_terms_are_spans_wherever_they_stand(docs):
+    rows = [(i, f"Wizardname, {'abc'[i] * 5} sent this, é漢🎉 the WIZARDNAME wizardname joe@x.org\nwizardname\x01") for i in range(3)]
+    rows += [(3, "a letter to wizardname and to wizardnames"), (3, "a letter to wizardname and to wizardnames"), (None, "wizardname")]
+    rows += [(10 + i, f"{'pqrstu'[i] * 5} sent this letter to the town") for i in range(6)]
+    clean = sorted((str(r.doc_id), r.text) for r in op2_personal_data.sanitised(docs(rows)).collect())
+    name = re.compile(r"\bwizardname\b", re.I)
+    assert clean == sorted((str(i), name.sub("<TERM>", t.replace("joe@x.org", "<EMAIL>"))) for i, t in rows)
+
+
 LONG = " ".join(f"token{i}" for i in range(60)) + "."
 
 
