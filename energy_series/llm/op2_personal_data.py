@@ -2,8 +2,8 @@
 
 Base spans are e-mail addresses, IP addresses, card numbers that pass Luhn's check, and
 phone numbers: leftmost matches that do not overlap within a kind; a match that fails its
-check is dropped. Each found value is a protected entity. The letters-only words within
-three words of an entity, in the same line, are terms of it. Over all documents, a term
+check is dropped. Each found value is a protected entity. The words (runs of letters, however short or long) within
+three words of an entity, in the same line, are terms of it; a run that goes over into the entity is no word. Over all documents, a term
 discloses an entity if at least ``SUPPORT`` different texts have them together, if at least
 ``POSTERIOR`` of the texts that have the term have it next to the entity, and if their
 pointwise mutual information, log2(n_both * N / (n_term * n_entity)), reaches ``REVEALED`` of the
@@ -38,8 +38,10 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-TERM = r"\p{L}{4,}"
-NEAR_WORDS, NEAR_CHARS = 3, 48
+TERM = r"\p{L}+"
+NEAR_WORDS = 3
+#: What stands up to the last of these words, from the start of a text or, of its reverse, from the end, in one line.
+NEAR = r"^(?:[^\p{L}\n]*+\p{L}++){0,%d}" % NEAR_WORDS
 SUPPORT, POSTERIOR, REVEALED = 2, 0.5, 0.5
 BROADCAST_BYTES = 32 << 20
 _MARK = "\u0001"
@@ -85,8 +87,8 @@ def _keyed(df: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def base_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``text_hash``, ``kind`` (place in ``KINDS``), ``start``, ``end``, ``value``, and the text ``before`` and
-    ``after`` in the same line, of every distinct span."""
+    """``doc_id``, ``text_hash``, ``kind`` (place in ``KINDS``), ``start``, ``end``, ``value``, and the text from the third word
+    ``before`` and to the third ``after`` in the same line, of every distinct span."""
     body = F.col("text")
 
     def found(kind: str) -> Column:
@@ -105,8 +107,8 @@ def base_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
         lambda i: F.struct(
             F.length(F.get("parts", i - 2)).alias("gap"),
             F.get("parts", i - 1).alias("value"),
-            F.right(F.get("parts", i - 2), F.lit(NEAR_CHARS)).alias("before"),
-            F.left(F.get("parts", i), F.lit(NEAR_CHARS)).alias("after"),
+            F.reverse(F.regexp_extract(F.reverse(F.substring_index(F.get("parts", i - 2), "\n", -1)), NEAR, 0)).alias("before"),
+            F.regexp_extract(F.get("parts", i), NEAR, 0).alias("after"),
         ),
     )
     rows = rows.select("doc_id", "text_hash", "kind", near.alias("near"))
@@ -123,14 +125,12 @@ def base_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 def _terms(spans: DataFrame) -> DataFrame:
     """``entity``, ``term`` and its place, for the terms near every span."""
     entity = F.concat_ws(":", F.col("kind").cast("string"), F.when(F.col("kind") == 0, F.lower("value")).otherwise(_digits(F.col("value"))))
-    line_before = F.substring_index("before", "\n", -1)
-    line_after = F.substring_index("after", "\n", 1)
 
-    def placed(side: Column, begin: Column, cut_left: Column, cut_right: Column, last: bool) -> Column:
-        """Terms in a context that begins at ``begin``; those at a cut edge may be parts of words."""
+    def placed(side: Column, begin: Column) -> Column:
+        """The words of a context that begins at ``begin``."""
         parts = _parts(side, TERM)
         at = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: i % 2 == 0)
-        words = F.transform(
+        return F.transform(
             at,
             lambda i: F.struct(
                 F.lower(F.get(parts, i - 1)).alias("term"),
@@ -138,18 +138,11 @@ def _terms(spans: DataFrame) -> DataFrame:
                 F.length(F.get(parts, i - 1)).alias("length"),
             ),
         )
-        end = begin + F.length(side)
-        whole = F.filter(
-            words,
-            lambda w: ~(cut_left & (w["start"] == begin)) & ~(cut_right & (w["start"] + w["length"] == end)),
-        )
-        n = F.least(F.size(whole), F.lit(NEAR_WORDS))
-        return F.slice(whole, F.size(whole) - n + 1, n) if last else F.slice(whole, F.lit(1), n)
 
-    long_before = (F.length("before") == NEAR_CHARS) & (F.length(line_before) == F.length("before"))
-    long_after = (F.length("after") == NEAR_CHARS) & (F.length(line_after) == F.length("after"))
-    before = placed(line_before, F.col("start").cast("int") - F.length(line_before), long_before, F.lit(False), True)
-    after = placed(line_after, F.col("end").cast("int"), F.lit(False), long_after, False)
+    start, end = F.col("start").cast("int"), F.col("end").cast("int")
+    over = lambda edge: F.col("value").rlike(edge)
+    before = F.filter(placed(F.col("before"), start - F.length("before")), lambda w: ~(over(r"^\p{L}") & (w["start"] + w["length"] == start)))
+    after = F.filter(placed(F.col("after"), end), lambda w: ~(over(r"\p{L}$") & (w["start"] == end)))
     rows = spans.select("doc_id", "text_hash", entity.alias("entity"), F.explode(F.concat(before, after)).alias("w"))
     return rows.select("doc_id", "text_hash", "entity", "w.term", F.col("w.start").alias("start"), (F.col("w.start") + F.col("w.length")).alias("end"))
 
@@ -170,7 +163,7 @@ def _disclosing(texts: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFram
     names = _small(both.select("term").distinct(), F.octet_length("term") + 32)
     words = F.array_distinct(F.split("text", r"[^\p{L}]+", -1))
     each = texts.select("text_hash", F.explode(words).alias("word")).select("text_hash", F.lower("word").alias("term"))
-    each = common.written(each.filter(F.length("term") >= 4).join(names, "term").select("text_hash", "term"), "words")
+    each = common.written(each.filter("term <> ''").join(names, "term").select("text_hash", "term"), "words")
     n_term = each.groupBy("term").agg(F.count_distinct("text_hash").alias("n_term"))
     n_entity = terms.groupBy("entity").agg(F.count_distinct("text_hash").alias("n_entity"))
     total = texts.agg(F.count_distinct("text_hash")).first()[0]

@@ -312,6 +312,16 @@ def test_terms_are_spans_wherever_they_stand(docs):
     assert clean == sorted((str(i), name.sub("<TERM>", t.replace("joe@x.org", "<EMAIL>"))) for i, t in rows)
 
 
+def test_short_and_long_words_are_terms(docs):
+    long = "Rindfleischetikettierungsüberwachungsaufgabenübertragungsgesetz"
+    rows = [(i, f"{'abc'[i] * 5} of the Kim {long} for joe@x.org, 李 or Lee or so") for i in range(3)]
+    rows += [(5, f"a text of the or for {long[:-1]}x so, by kim"), (6, "éjoe@x.org é"), (7, "éjoe@x.org é!")]
+    rows += [(10 + i, f"{'pqrstu'[i] * 5} of the or for so on") for i in range(6)]
+    found = term_spans(rows, op2_personal_data.report(docs(rows)))
+    assert all(found[i] == ["Kim", long, "李", "Lee"] for i in range(3))
+    assert found[5] == ["kim"] and found[6] == ["é"] and found[10] == []
+
+
 LONG = " ".join(f"token{i}" for i in range(60)) + "."
 
 
