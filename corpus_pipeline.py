@@ -21,7 +21,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, a similarity of 0.8."""
-    return op3_jaccard_join.one_of_each(docs, size=5, similarity=(4, 5))
+    return op3_jaccard_join.one_row_of_each(docs, size=5, similarity=(4, 5))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

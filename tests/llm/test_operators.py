@@ -117,6 +117,25 @@ def test_jaccard_join_of_odd_rows(docs, odd):
     assert op3_jaccard_join.jaccard_components(docs([])).count() == 0
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, docs, odd):
+    import corpus_pipeline
+
+    other = " ".join(f"other{i}" for i in range(20))
+    alone = " ".join(f"alone{i}" for i in range(20))
+    rows = [*odd, (None, alone), (None, alone), (None, alone + " end"), (4, "a clean text that shares its id with a copy")]
+    rows += [(50, other), (50, other), (50, other + " x"), (None, other)]
+    # Two texts that link only through one without an id.
+    chain = [f"c{i}" for i in range(24)]
+    rows += [(60, " ".join(chain)), (None, " ".join([*chain, "d1", "d2", "d3"])), (61, " ".join([*chain, "d1", "d2", "d3", "d4", "d5", "d6"]))]
+    got = corpus_pipeline.jaccard_stage(spark, docs(rows), "")
+    assert got.columns == docs(rows).columns
+    kept = sorted((str(r.doc_id), r.text or "") for r in got.collect())
+    start = lambda t: t.split(" ")[0]
+    families = {s: [i for i, t in kept if start(t) == s] for s in ("alpha", "ALPHA", "other0", "alone0", "c0")}
+    assert families == {"alpha": ["3"], "ALPHA": [], "other0": ["50"], "alone0": ["None"], "c0": ["60"]}
+    assert [r for r in kept if start(r[1]) not in families] == sorted((str(i), t or "") for i, t in rows if start(t or "") not in families)
+
+
 def test_blocks_of_a_large_cluster_are_joined(docs, monkeypatch):
     from energy_series.llm import setjoin
 
