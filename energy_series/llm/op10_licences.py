@@ -1,13 +1,16 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph (line) with a word of licences is a candidate. Its features are those word pairs
+A line with a word of licences is a candidate; notices are looked for in it and, since they may be
+wrapped, in the words of its paragraph (lines up to one without letters and digits, without comment marks)
+that are next to it. The features of a text are those word pairs
 and triples that some known notice has. A multinomial logistic regression tells the
 families and the class ``unknown`` apart; it is fitted here, by Spark's own trainer, to notices inside
 paragraphs of the corpus (families) and to such paragraphs and other notices (unknown),
 a bounded sample: the ``SAMPLE`` paragraphs with the smallest hashes. A fifth of the examples
 calibrates: a family needs a probability above what ``CALIBRATION`` of the unknown examples
-reach. A predicted family is confirmed if the paragraph has ``CONFIRM`` of the word pairs of one of
-its notices, else the paragraph is unknown. DataFrame expressions only; scanning needs
+reach. Classified are the whole line, and every run of words, some in the line, that has ``CONFIRM`` of the word
+pairs of a notice, from its first to its last. A predicted family is confirmed if the line, or the run, has so
+many pairs of one of its notices; a candidate has all families confirmed, or is unknown. DataFrame expressions only; scanning needs
 no shuffle, and the weights are bounded by the notices.
 
 Defined cases: a null or empty text has no candidates; texts are scanned whole; every
@@ -28,6 +31,8 @@ UNKNOWN = "unknown"
 SAMPLE = 400
 CALIBRATION, LEAST = 0.99, 0.5
 CONFIRM = 0.8
+#: Words on either side of a line: more than the longest notice has, with the quarter more that a run may have.
+NEXT = 24
 #: What notices of each family say.
 NOTICES = {
     "apache-2.0": (
@@ -82,11 +87,19 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " ", -1), "")
 
 
+def _shifted(words: Column, n: int) -> Column:
+    return F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0)))
+
+
+def _pairs(words: Column) -> Column:
+    """The word pairs, in order; the last has no second word."""
+    return F.zip_with(words, _shifted(words, 1), lambda a, b: F.concat_ws(" ", a, b))
+
+
 def _grams(words: Column) -> Column:
     """The distinct word pairs and triples."""
-    shifted = lambda n: F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0)))
-    pairs = F.zip_with(words, shifted(1), lambda a, b: F.concat_ws(" ", a, b))
-    triples = F.zip_with(pairs, shifted(2), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = _pairs(words)
+    triples = F.zip_with(pairs, _shifted(words, 2), lambda a, b: F.concat_ws(" ", a, b))
     return F.array_distinct(F.concat(pairs, triples))
 
 
@@ -94,11 +107,83 @@ def _signed(text: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(s)) for s in SIGNS])
 
 
+#: Comment marks that are letters, and signs of two words that a line break parts.
+MARKS = r"(?i)^\s*(?:dnl\b|rem\b|c(?=\s{2}))"
+PARTED = (("rights", "reserved"), ("permission", "is"))
+
+
 def paragraphs(df: DataFrame, text: str, key: str) -> DataFrame:
-    """``doc_id`` and ``paragraphs``, the candidates, of every row."""
+    """``doc_id`` and ``paragraphs``, the candidates, of every row: the ``line`` and its words, and up to ``NEXT`` words
+    ``before`` and ``after`` it."""
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.when(_signed(body), F.filter(F.split(body, "\n", -1), _signed))
-    return df.select(F.col(key).alias("doc_id"), F.coalesce(lines, F.array().cast("array<string>")).alias("paragraphs"))
+    parted = reduce(lambda a, b: a | b, [F.lower(body).rlike(rf"{x}[^a-z0-9]*\n[^a-z0-9]*{y}\b") for x, y in PARTED])
+    plain = lambda line: F.trim(F.regexp_replace(F.lower(F.regexp_replace(line, MARKS, "")), "[^a-z0-9]+", " "))
+    lines = F.transform(F.split(body, "\n", -1), lambda line: F.struct(line.alias("line"), plain(line).alias("plain")))
+
+    def words(side: Column) -> Column:
+        return F.array_remove(F.split(side, "[ \n]+", -1), "")
+
+    def candidates(all_lines: Column) -> Column:
+        def signed(x: Column, i: Column) -> Column:
+            following = F.coalesce(F.get(all_lines, i + 1)["plain"], F.lit(""))
+            over = [x["plain"].rlike(rf"\b{a}$") & following.rlike(rf"^{b}\b") for a, b in PARTED]
+            return F.when(reduce(lambda a, b: a | b, over, _signed(x["line"])), i)
+
+        def placed(i: Column) -> Column:
+            # Every line of a paragraph has a word, so as many lines as words are enough.
+            side = lambda start, n: F.array_join(F.transform(F.slice(all_lines, start, n), lambda x: x["plain"]), "\n")
+            first = F.greatest(i + 1 - NEXT, F.lit(1))
+            before = words(F.substring_index(F.concat(side(first, i + 1 - first), F.lit("\n")), "\n\n", -1))
+            after = words(F.substring_index(F.concat(F.lit("\n"), side(i + 2, F.lit(NEXT))), "\n\n", 1))
+            n = F.least(F.size(before), F.lit(NEXT))
+            x = F.get(all_lines, i)
+            return F.struct(
+                x["line"].alias("line"),
+                words(x["plain"]).alias("words"),
+                F.slice(before, F.size(before) - n + 1, n).alias("before"),
+                F.slice(after, F.lit(1), F.lit(NEXT)).alias("after"),
+            )
+
+        return F.transform(F.filter(F.transform(all_lines, signed), lambda i: i.isNotNull()), placed)
+
+    found = F.when(_signed(body) | parted, F.get(F.transform(F.array(lines), candidates), F.lit(0)))
+    kind = "array<struct<line:string,words:array<string>,before:array<string>,after:array<string>>>"
+    return df.select(F.col(key).alias("doc_id"), F.coalesce(found, F.array().cast(kind)).alias("paragraphs"))
+
+
+def _fitting(words: Column, pairs: Column, begin: Column, end: Column, family: str, notice: str) -> Column:
+    """``family`` and ``words`` of the runs that have enough of a notice's word pairs, one of them with a word from
+    ``begin`` to before ``end``."""
+    own = sorted(set(_runs_of(_plain(notice), (2,))))
+    length = len(_plain(notice))
+    reach = length - 2 + length // 4
+    is_own = lambda pair: F.array_contains(_literals(own), pair)
+    enough = lambda hits: F.size(F.array_distinct(F.transform(hits, lambda h: F.get(pairs, h)))) / F.lit(len(own)) >= CONFIRM
+    in_line = lambda hits: F.exists(hits, lambda h: (h >= begin - 1) & (h < end))
+
+    def runs(hits: Column) -> Column:
+        near = F.transform(hits, lambda s: F.filter(F.sequence(s, s + reach), lambda i: is_own(F.get(pairs, i))))
+        piece = lambda near: F.slice(words, near[0] + 1, F.element_at(near, -1) - near[0] + 2)
+        fits = F.filter(near, lambda near: enough(near) & in_line(near))
+        return F.transform(fits, lambda near: F.struct(F.lit(family).alias("family"), piece(near).alias("words")))
+
+    hits = F.filter(F.transform(pairs, lambda p, i: F.when(is_own(p), i)), lambda i: i.isNotNull())
+    return F.flatten(F.transform(F.filter(F.array(hits), enough), runs))
+
+
+def _runs(x: Column) -> Column:
+    """``family`` and ``words`` of the runs of words in and next to a candidate that fit a notice; the line itself
+    is the first, without a family."""
+    line = F.struct(F.lit(None).cast("string").alias("family"), _words(x["line"]).alias("words"))
+
+    def of(words: Column) -> Column:
+        begin = F.size(x["before"])
+        end = begin + F.size(x["words"])
+        known = [(family, notice) for family, notices in NOTICES.items() for notice in notices]
+        found = lambda pairs: F.concat(F.array(line), *[_fitting(words, pairs, begin, end, *k) for k in known])
+        return F.get(F.transform(F.array(_pairs(words)), found), F.lit(0))
+
+    return F.get(F.transform(F.array(F.concat(x["before"], x["words"], x["after"])), of), F.lit(0))
 
 
 def _literals(values: list[str]) -> Column:
@@ -111,29 +196,27 @@ class Classifier:
     def __init__(self, weights: dict[str, list[float]], bias: list[float], least: float) -> None:
         self.weights, self.bias, self.least = weights, bias, least
 
-    def scored(self, text: Column) -> Column:
-        """Family and probability of one paragraph, as a struct."""
+    def families(self, candidate: Column) -> Column:
+        """The families confirmed of one candidate, a struct of ``paragraphs``."""
         table = F.create_map(*[x for g, w in self.weights.items() for x in (F.lit(g), F.array(*map(F.lit, w)))])
         known = _literals(list(self.weights))
-        grams = lambda words: _grams(words)
-        one = F.transform(F.array(text), lambda t: _words(t))
-        one = F.transform(one, grams)
+        runs = F.transform(_runs(candidate), lambda r: F.struct(r["family"].alias("family"), _grams(r["words"]).alias("grams")))
 
-        def classed(have: Column) -> Column:
+        def classed(r: Column) -> Column:
+            have = r["grams"]
             start = F.array(*map(F.lit, self.bias))
             logits = F.aggregate(
                 F.array_intersect(have, known), start, lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b)
             )
-            return F.struct(have.alias("grams"), logits.alias("logits"))
+            return F.struct(r["family"].alias("family"), have.alias("grams"), logits.alias("logits"))
 
-        one = F.transform(one, classed)
         names = _literals([*FAMILIES, UNKNOWN])
 
         def decided(x: Column) -> Column:
             top = F.array_max(x["logits"])
             total = F.aggregate(x["logits"], F.lit(0.0), lambda a, v: a + F.exp(v - top))
             name = F.element_at(names, F.array_position(x["logits"], top).cast("int"))
-            return F.struct(x["grams"].alias("grams"), name.alias("name"), (F.lit(1.0) / total).alias("probability"))
+            return F.struct(x["family"].alias("family"), x["grams"].alias("grams"), name.alias("name"), (F.lit(1.0) / total).alias("probability"))
 
         def confirmed(x: Column) -> Column:
             fits = F.lit(False)
@@ -142,10 +225,11 @@ class Classifier:
                     pairs = _runs_of(_plain(notice), (2,))
                     share = F.size(F.array_intersect(x["grams"], _literals(pairs))) / F.lit(len(set(pairs)))
                     fits = fits | ((x["name"] == family) & (share >= CONFIRM))
-            sure = fits & (x["probability"] >= self.least)
-            return F.struct(F.when(sure, x["name"]).otherwise(F.lit(UNKNOWN)).alias("family"), x["probability"].alias("probability"))
+            fits = F.when(x["family"].isNull(), fits).otherwise(x["name"] == x["family"])
+            return F.when(fits & (x["probability"] >= self.least), x["name"])
 
-        return F.element_at(F.transform(F.transform(one, decided), confirmed), 1)
+        names_of = F.transform(F.transform(F.transform(runs, classed), decided), confirmed)
+        return F.array_distinct(F.filter(names_of, lambda n: n.isNotNull()))
 
 
 def examples(df: DataFrame, text: str = "text") -> DataFrame:
@@ -193,12 +277,12 @@ def trained(df: DataFrame, text: str = "text") -> Classifier:
 def report(df: DataFrame, classifier: Classifier, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``n_candidates``, ``licences`` (confirmed families, sorted, joined by commas) and ``n_unknown`` of every row."""
     rows = paragraphs(df, text, key)
-    found = F.transform("paragraphs", lambda p: classifier.scored(p)["family"])
+    found = F.transform("paragraphs", classifier.families)
     rows = rows.select("doc_id", F.size("paragraphs").cast("long").alias("n_candidates"), F.when(F.size("paragraphs") > 0, found).alias("found"))
-    found = F.coalesce("found", F.array().cast("array<string>"))
+    found = F.coalesce("found", F.array().cast("array<array<string>>"))
     return rows.select(
         "doc_id",
         "n_candidates",
-        F.array_join(F.array_sort(F.array_distinct(F.array_remove(found, UNKNOWN))), ",").alias("licences"),
-        F.size(F.filter(found, lambda f: f == UNKNOWN)).cast("long").alias("n_unknown"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(found))), ",").alias("licences"),
+        F.size(F.filter(found, lambda f: F.size(f) == 0)).cast("long").alias("n_unknown"),
     )

@@ -427,3 +427,26 @@ def test_licences(docs):
     assert sorted((r.doc_id, r.licences, r.n_unknown) for r in got) == [
         (1, "apache-2.0", 0), (2, "mit", 0), (3, "", 1), (4, "", 0), (5, "", 0), (6, "cc-by-nc-4.0,proprietary", 0), (7, "", 1), (7, "cc-by-4.0", 0),
     ]
+
+
+def test_wrapped_and_adjacent_notices(docs):
+    filler = [(100 + i, f"some plain words of line {i} that go on and on\nand a second line of text {i}") for i in range(50)]
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met"
+    gpl = (
+        " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License"
+        " as published by\n * the Free Software Foundation, either version 3 of the License, or"
+    )
+    mpl = "dnl This Source Code Form is subject to the terms of the Mozilla Public\ndnl License, v. 2.0. If a copy of the MPL was not distributed"
+    narrow = "# Permission\n# is hereby\n# granted, free\n# of charge, to\n# any person\n# obtaining a\n# copy of this\n# software"
+    rows = [
+        (1, bsd), (2, gpl), (3, mpl), (4, narrow), (5, "Text (c) them. All rights\nreserved."),
+        (6, "Intro. Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0. Released under the MIT License. More words here."),
+        (7, "Licensed under CC BY-NC 4.0"), (8, "Released under the MIT License\nsee the file LICENSE for details"),
+        (9, "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted"),
+    ]
+    both = docs(rows + filler)
+    got = {r.doc_id: r for r in op10_licences.report(both, op10_licences.trained(both)).filter("doc_id < 10").collect()}
+    assert [got[i].licences for i in range(1, 10)] == [
+        "bsd", "gpl-3.0", "mpl-2.0", "mit", "proprietary", "cc-by-4.0,cc-by-nc-4.0,mit", "cc-by-nc-4.0", "mit", "",
+    ]
+    assert [got[i].n_unknown for i in (1, 3, 4, 5, 6, 7, 8, 9)] == [0, 0, 0, 0, 0, 0, 1, 1]
