@@ -7,7 +7,10 @@ variable field, so records on one leaf have one template. A template recurs if e
 documents have it, and those are not all copies of one text: two documents where it has
 eight tokens or more, ten where it has five to seven; shorter records always stay.
 Recurring records are dropped everywhere but in one text, that of the smallest
-MD5, so what they say is kept once. DataFrame expressions only; leaves are counted with
+MD5, so what they say is kept once. ``clean`` also cuts at the stops of Chinese and Japanese, and judges
+runs: of a short record (under ``MANY_TOKENS`` tokens), the adjacent records from it on and those up to it that
+weigh ``RUN`` words together; if another text has such a run, word for word, all texts but the one of the
+smallest MD5 lose the short record. A word weighs one, two characters of a script without blanks do, too. DataFrame expressions only; leaves are counted with
 partial aggregates, so a template that a third of all documents share is no hot key.
 
 Defined cases: a null text stays null and has no lines; a record counts once for a
@@ -28,18 +31,22 @@ DEPTH = 12
 #: Tokens from which a template may recur, and the documents that takes.
 FEW_TOKENS, FEW_DOCUMENTS = 5, 10
 MANY_TOKENS, MANY_DOCUMENTS = 8, 2
+RUN = 8
 MARK = "\u0001"
 CUT = r"(?<=\n)|(?<=[.!?] )"
+#: Stops that no blank follows, and characters of scripts without blanks.
+STOPS = "。！？｡"
+WIDE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
-def records(text: Column) -> Column:
-    """The records of a text; together they are the text. Marks put where ``CUT`` matches, by
+def records(text: Column, stops: str = "") -> Column:
+    """The records of a text, cut at ``stops`` too; together they are the text. Marks put where ``CUT`` matches, by
     plain replacement, part most texts faster than the pattern, which serves those that have
     the mark."""
     marked = text
-    for end in ("\n", ". ", "! ", "? "):
+    for end in ("\n", ". ", "! ", "? ", *stops):
         marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
-    parts = F.when(F.instr(text, MARK) > 0, F.split(text, CUT, -1)).otherwise(F.split(marked, MARK, -1))
+    parts = F.when(F.instr(text, MARK) > 0, F.split(text, CUT + (f"|(?<=[{stops}])" if stops else ""), -1)).otherwise(F.split(marked, MARK, -1))
     return F.array_remove(parts, "")
 
 
@@ -55,10 +62,10 @@ def text_key(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def parsed(df: DataFrame, text: str = "text") -> DataFrame:
+def parsed(df: DataFrame, text: str = "text", stops: str = "") -> DataFrame:
     """``text_key`` and ``leaves`` (one for each record, in order) of every distinct text."""
     masked = F.regexp_replace(F.col(text), "[0-9]+", "0")
-    rows = df.filter(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("text_key"), records(masked).alias("records"))
+    rows = df.filter(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("text_key"), records(masked, stops).alias("records"))
     return rows.select("text_key", F.transform("records", _leaf).alias("leaves"))
 
 
@@ -70,30 +77,88 @@ def _recurring(leaves: DataFrame) -> DataFrame:
     return count.filter((F.col("kept") < F.col("other")) & (F.col("n") >= need)).select("leaf", "kept")
 
 
-def dropped(df: DataFrame, text: str = "text") -> DataFrame:
+def dropped(df: DataFrame, text: str = "text", stops: str = "") -> DataFrame:
     """``text_key`` and ``drop``, the leaves that a text loses, for every text that loses some."""
-    leaves = common.written(parsed(df, text), "leaves")
+    leaves = common.written(parsed(df, text, stops), "leaves")
     each = leaves.select("text_key", F.explode(F.array_distinct("leaves")).alias("leaf")).filter("leaf <> 0")
     lost = each.join(_recurring(leaves), "leaf").filter("text_key <> kept")
     return lost.groupBy("text_key").agg(F.collect_set("leaf").alias("drop"))
 
 
-def _split(df: DataFrame, text: str) -> DataFrame:
+def _weighed(all_records: Column) -> Column:
+    """``i``, ``body``, ``weight`` and whether it is ``short``, of every record that is not blank."""
+
+    def one(record: Column, i: Column) -> Column:
+        body = F.array_join(F.array_remove(F.split(record, r"\s+", -1), ""), " ")
+        wide = F.when(F.octet_length(body) > F.length(body), F.length(body) - F.length(F.regexp_replace(body, WIDE, ""))).otherwise(0)
+        tokens = F.size(F.split(F.rtrim(record, F.lit(" \n")), " ", -1))
+        weight = F.size(F.split(body, " ", -1)) + F.floor(wide / 2).cast("int")
+        return F.struct(i.alias("i"), body.alias("body"), weight.alias("weight"), (tokens < MANY_TOKENS).alias("short"))
+
+    return F.filter(F.transform(all_records, one), lambda x: x["body"] != "")
+
+
+def _runs(text: Column) -> Column:
+    """``i`` and ``runs`` (hashes) of every short record of a text."""
+
+    def reached(side: Column) -> Column:
+        """How many records from the first of ``side`` weigh ``RUN``; null if all don't."""
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("w"))
+        more = lambda acc, x: F.when(acc["w"] >= RUN, acc).otherwise(F.struct((acc["n"] + 1).alias("n"), (acc["w"] + x["weight"]).alias("w")))
+        return F.aggregate(side, start, more, lambda acc: F.when(acc["w"] >= RUN, acc["n"]))
+
+    def of(xs: Column) -> Column:
+        def one(x: Column, at: Column) -> Column:
+            first = F.greatest(at + 2 - RUN, F.lit(1))
+            onwards = F.slice(xs, at + 1, F.lit(RUN))
+            back = F.reverse(F.slice(xs, first, at + 2 - first))
+            hashed = lambda side: F.xxhash64(F.transform(side, lambda y: y["body"]))
+            # Conditions, since a hash of a null is a number.
+            ahead = F.when(reached(onwards).isNotNull(), hashed(F.slice(onwards, F.lit(1), F.coalesce(reached(onwards), F.lit(0)))))
+            behind = F.when(reached(back).isNotNull(), hashed(F.reverse(F.slice(back, F.lit(1), F.coalesce(reached(back), F.lit(0))))))
+            return F.when(x["short"], F.struct(x["i"].alias("i"), F.array_compact(F.array(ahead, behind)).alias("runs")))
+
+        return F.filter(F.transform(xs, one), lambda x: x.isNotNull() & (F.size(x["runs"]) > 0))
+
+    return F.get(F.transform(F.array(_weighed(records(text, STOPS))), of), F.lit(0))
+
+
+def dropped_runs(df: DataFrame, text: str = "text") -> DataFrame:
+    """``text_key`` and ``places``, the short records that a text loses since their runs recur, for every text that loses some."""
+    rows = df.filter(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("text_key"), F.explode(_runs(F.col(text))).alias("x"))
+    rows = common.written(rows.select("text_key", F.col("x.i").alias("i"), F.explode("x.runs").alias("run")), "runs")
+    count = rows.groupBy("run").agg(F.min("text_key").alias("kept"), F.max("text_key").alias("other"))
+    count = common.written(count.filter("kept < other").select("run", "kept"), "recurring")  # so that the join may split a run
+    lost = rows.join(count, "run").filter("text_key <> kept")
+    return lost.groupBy("text_key").agg(F.collect_set("i").alias("places"))
+
+
+def _split(df: DataFrame, text: str, runs: bool = False) -> DataFrame:
     """The rows of ``df`` as ``row``, with ``all`` records and those that are ``left``; a record at
-    whose place the masked text has a dropped leaf is not left."""
-    lost = dropped(df, text).hint("merge")
+    whose place the masked text has a dropped leaf is not left, nor, with ``runs``, one in a dropped run."""
+    stops = STOPS if runs else ""
+    lost = dropped(df, text, stops)
+    if runs:
+        lost = lost.join(dropped_runs(df, text), "text_key", "full")
+        lost = lost.select("text_key", *[F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c) for c, t in (("drop", "long"), ("places", "int"))])
+    lost = lost.hint("merge")
     rows = df.select(F.struct("*").alias("row"), text_key(F.col(text)).alias("text_key"))
     joined = rows.join(lost, "text_key", "left")
     body = F.col(f"row.{text}")
     keep = lambda r: ~F.array_contains(F.col("drop"), _leaf(F.regexp_replace(r, "[0-9]+", "0")))
+    if runs:
+        places = F.col("places")
+        joined = joined.select("row", "drop", "places", records(body, stops).alias("all"))
+        left = F.filter("all", lambda r, i: keep(r) & ~F.array_contains(places, i))
+        return joined.select("row", "all", F.when(F.col("drop").isNull(), F.col("all")).otherwise(left).alias("left"))
     joined = joined.select("row", "drop", records(body).alias("all"))
     return joined.select("row", "all", F.when(F.col("drop").isNull(), F.col("all")).otherwise(F.filter("all", keep)).alias("left"))
 
 
 def clean(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with recurring records dropped, without documents that have nothing left but had
+    """``df`` with recurring records, and those of recurring runs, dropped, without documents that have nothing left but had
     something."""
-    parts = _split(df, text).filter((F.size("all") == 0) | (F.size("left") > 0) | F.col("all").isNull())
+    parts = _split(df, text, runs=True).filter((F.size("all") == 0) | (F.size("left") > 0) | F.col("all").isNull())
     body = F.array_join("left", "")
     parts = parts.select("row", body.alias("body"))
     made = {text: F.col("body")}

@@ -359,6 +359,21 @@ def test_line_dedup(docs, odd):
     assert [r.n_dropped for r in copies_only] == [0, 0, 0]
 
 
+def test_line_dedup_of_runs_of_short_records(docs):
+    verse = "".join(f"Line {w} goes\n" for w in "abcdefghijklmnopqrst")
+    han = "春眠不覚暁処処聞啼鳥夜来風雨声花落。知多少人在高楼望月明千里共嬋娟。"
+    tabs = "one\ttwo\tthree\tfour\tfive\tsix\tseven\teight\tnine\n"
+    rows = [(i, f"Own {'xyz'[i]} text here.\n{verse}Own end {'xyz'[i]}.\nYes.\n") for i in range(3)]
+    rows += [(10 + i, f"{'甲乙丙'[i]}自分の文。{han}") for i in range(3)] + [(20 + i, f"{'uvw'[i]}\n\n{tabs}") for i in range(3)]
+    rows += [(30, "1\n2\n3\n4\n5\n6\n7\n8\n9\n"), (31, "2\n4\n6\n8\n10\n12\n14\n16\n18\n20\n")]
+    got = {r.doc_id: r.text for r in op4_line_dedup.clean(docs(rows)).collect()}
+    for ids, passage in ((range(3), verse), (range(10, 13), han), (range(20, 23), tabs)):
+        assert sum(passage in got[i] for i in ids) == 1
+        for i in ids:
+            assert got[i] in (dict(rows)[i], dict(rows)[i].replace(passage, ""))
+    assert got[30] == rows[-2][1] and got[31] == rows[-1][1]
+
+
 def brute_hits(text, items):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
     hit, found = set(), set()
