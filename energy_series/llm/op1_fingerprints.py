@@ -17,7 +17,8 @@ columns of the input are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,12 @@ MOST = 256
 _RNG = np.random.default_rng(1)
 _A = _RNG.integers(0, 1 << 63, MOST).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, MOST).astype(np.uint64)
+#: More functions, for similarities that need more bands; the first stay as they are.
+MORE = 4096
+_RNG = np.random.default_rng(2)
+_A = np.concatenate([_A, _RNG.integers(0, 1 << 63, MORE - MOST).astype(np.uint64) * np.uint64(2) + np.uint64(1)])
+_B = np.concatenate([_B, _RNG.integers(0, 1 << 63, MORE - MOST).astype(np.uint64)])
+MISS = 2e-11
 _BLOCK = 1 << 15
 
 
@@ -93,6 +100,16 @@ def band_hashes(sig: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, value.ravel().view(np.int64))
 
 
+def banded(similarity: tuple[int, int], least: int) -> Callable[[np.ndarray, np.ndarray], pa.Array] | None:
+    """Meeting keys by ``least`` bands or, if these miss a pair of this similarity with a chance above ``MISS``, by as many
+    as it takes; None where there are too few functions for that, since keys by parts are exact."""
+    num, den = similarity
+    bands = least
+    if num < den:
+        bands = max(least, math.ceil(math.log(MISS) / math.log1p(-((num / den) ** ROWS)))) if num else MORE
+    return (lambda hashes, n: band_hashes(minima(hashes, n, ROWS * bands))) if ROWS * bands <= MORE else None
+
+
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id``: the smallest key reachable by links.
 
@@ -101,7 +118,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", simi
     fraction of whole numbers). Equal sets are one class, joined once for them all.
     """
 
-    return setjoin.components_of(df, text, key, SHINGLE, similarity, lambda hashes, n: band_hashes(minima(hashes, n)))
+    return setjoin.components_of(df, text, key, SHINGLE, similarity, banded(similarity, PERMUTATIONS // ROWS))
 
 
 def edited_fingerprints(df: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ lower case); with fewer words, the whole sequence as one shingle. Two documents
 the Jaccard similarity of their sets is 0.9 or more. ``setjoin`` brings sets that can
 link together and ``prefix_tree`` joins them exactly; two different shingles count as one
 only if their 64-bit hashes agree. Below 0.9, keys by parts would outnumber the shingles: there, sets
-meet by 48 MinHash bands of four, which miss a pair with the chance (1 - s ** 4) ** 48, at
-0.8 that is 1e-11; the join after it is the same.
+meet by MinHash bands of four, which miss a pair with the chance (1 - s ** 4) ** bands: 48 bands, at
+0.8 that is 1e-11, and below as many as keep the chance under 2e-11; where that takes too many, keys by parts. The join after it is the same.
 
 Defined cases: a null text or one without words has the empty set, links with nothing
 and is a component of its own. Rows that repeat a doc_id are documents of their own with
@@ -33,7 +33,7 @@ def jaccard_components(
     num, den = similarity
     few = None
     if 10 * num < 9 * den:
-        few = lambda hashes, n: op1_fingerprints.band_hashes(op1_fingerprints.minima(hashes, n, 4 * BANDS))
+        few = op1_fingerprints.banded(similarity, BANDS)
     return setjoin.components_of(df, text, key, size, similarity, few)
 
 

@@ -107,6 +107,14 @@ def test_jaccard_join_equals_brute_force(docs, size, similarity):
     assert {tuple(r) for r in got} == brute_components(rows, size, *similarity)
 
 
+def test_low_similarities_get_more_bands(docs):
+    words = lambda i, side: [f"c{i}x{j}" for j in range(20)] + [f"{side}{i}x{j}" for j in range(10)]
+    rows = [(2 * i + k, " ".join(words(i, "ab"[k]))) for i in range(150) for k in (0, 1)]
+    got = op3_jaccard_join.jaccard_components(docs(rows), size=1, similarity=(1, 2)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i - i % 2) for i, _ in rows}
+    assert op1_fingerprints.banded((1, 10), 32) is None
+
+
 def test_jaccard_join_of_odd_rows(docs, odd):
     got = op3_jaccard_join.jaccard_components(docs(odd)).collect()
     assert len(got) == len(odd)
