@@ -112,8 +112,8 @@ def _jump(edges: DataFrame, root: tuple[int, int, int], distance: int, fanout: i
     above = above.select(*[F.col(c).alias(f"o_{c}") for c in above.columns])
     on = [F.col(f"a_{c}") == F.col(f"o_{c}") for c in ("tree", "level", "idx")]
     if fanout**distance > ROWS_PER_KEY:
-        open_ = open_.withColumn("salt", F.expr(f"idx div {ROWS_PER_KEY} % {SALTS}"))
-        above = above.withColumn("o_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        open_ = open_.withColumn("salt", F.expr(f"idx div {ROWS_PER_KEY} % {SALTS}").cast("int"))
+        above = above.withColumn("o_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         on.append(F.col("salt") == F.col("o_salt"))
     far = open_.join(above, on).select(
         "tree", "level", "idx",

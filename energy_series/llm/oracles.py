@@ -48,5 +48,38 @@ items AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+""",
+    "op11_source_divergence": rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+tok AS (SELECT r, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS n FROM tok GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+size AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM doc) g LEFT JOIN cnt c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+share AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * s.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 2)) // (s.total + 2 * s.v) AS q
+  FROM grp g JOIN kept k ON g.lang = k.lang JOIN size s ON g.lang = s.lang
+  LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+above AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM share WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM above))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     op1_fingerprints,
     op10_licences,
+    op11_source_divergence,
     op13_merkle_manifest,
     op2_personal_data,
     op3_jaccard_join,
@@ -64,6 +65,10 @@ def op10_licences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_licences.report(docs, op10_licences.trained(docs))
 
 
+def op11_source_divergence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_merkle_manifest.tamper_report(table(spark, sf_dir, "documents"))
 
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files_query,
     "op9_bpe": op9_bpe_query,
     "op10_licences": op10_licences_query,
+    "op11_source_divergence": op11_source_divergence_query,
     "op13_merkle_manifest": op13_merkle_query,
 }
