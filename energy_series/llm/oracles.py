@@ -5,6 +5,12 @@ from __future__ import annotations
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+def _field(value: str) -> str:
+    """Number of UTF-8 bytes, a colon and the value; a dash for a null."""
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
 ORACLES: dict[str, str] = {
     "op4_line_dedup": r"""
 WITH raw AS (
@@ -81,5 +87,52 @@ ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
   FROM (SELECT * FROM pair UNION ALL SELECT * FROM above))
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE
+bits AS (
+  SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+lut AS (SELECT list(c ORDER BY i) AS l FROM bits WHERE k = 8),
+doc AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS g, {_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field('n_chars')} AS lead, text,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                     lambda c, b: xor(l[xor(c & 255, b) + 1], c >> 8)) AS crc
+  FROM documents, lut),
+leaf AS (
+  SELECT doc_id, g, sha256(lead || {_field('text')}) AS h,
+         CASE WHEN xor(crc, 4294967295) % 3 = 0
+              THEN sha256(lead || {_field(f"translate(text, '{_UPPER}', '{_LOWER}')")}) END AS claim
+  FROM doc),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaf),
+node AS (
+  SELECT g, 0 AS lvl, pos AS i, h, n FROM placed
+  UNION ALL
+  SELECT g, any_value(lvl) + 1, i >> 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) >> 3 FROM node WHERE n > 1 GROUP BY g, i >> 3),
+sub AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, pos AS i, h, n FROM sub
+  UNION ALL
+  SELECT any_value(lvl) + 1, i >> 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) >> 3 FROM top WHERE n > 1 GROUP BY i >> 3),
+around AS (
+  SELECT g, lvl, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT g, lvl, i, h FROM node WHERE n > 1 UNION ALL SELECT '', lvl, i, h FROM top WHERE n > 1)
+  WINDOW w AS (PARTITION BY g, lvl, i >> 3 ORDER BY i)),
+way AS (
+  SELECT p.g, p.pos, a.lvl, a.l, a.r FROM placed p JOIN around a ON a.g = p.g AND a.i = p.pos >> (3 * a.lvl)
+  UNION ALL
+  SELECT p.g, p.pos, 100 + a.lvl, a.l, a.r FROM placed p JOIN sub s ON s.g = p.g JOIN around a ON a.g = '' AND a.i = s.pos >> (3 * a.lvl)),
+step AS (SELECT *, row_number() OVER (PARTITION BY g, pos ORDER BY lvl) AS k FROM way),
+proof AS (SELECT g, pos, string_agg(l || r, '' ORDER BY k) AS s FROM step GROUP BY g, pos),
+fold AS (
+  SELECT g, pos, 0::BIGINT AS k, coalesce(claim, h) AS h FROM placed
+  UNION ALL
+  SELECT f.g, f.pos, s.k, sha256(s.l || f.h || s.r) FROM fold f JOIN step s ON s.g = f.g AND s.pos = f.pos AND s.k = f.k + 1),
+done AS (SELECT g, pos, arg_max(h, k) AS h FROM fold GROUP BY g, pos)
+SELECT p.doc_id, p.h AS leaf, s.h AS subroot, t.h AS root, sha256(coalesce(w.s, '')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM placed p JOIN sub s ON s.g = p.g JOIN (SELECT h FROM top WHERE n = 1) t ON true
+LEFT JOIN proof w ON w.g = p.g AND w.pos = p.pos JOIN done f ON f.g = p.g AND f.pos = p.pos
 """,
 }

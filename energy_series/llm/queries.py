@@ -10,6 +10,7 @@ from . import (
     op1_fingerprints,
     op10_licences,
     op11_source_divergence,
+    op12_byte_bpe,
     op13_merkle_manifest,
     op2_personal_data,
     op3_jaccard_join,
@@ -69,6 +70,10 @@ def op11_source_divergence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_byte_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_merkle_manifest.tamper_report(table(spark, sf_dir, "documents"))
 
@@ -85,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe_query,
     "op10_licences": op10_licences_query,
     "op11_source_divergence": op11_source_divergence_query,
+    "op12_byte_bpe": op12_byte_bpe_query,
     "op13_merkle_manifest": op13_merkle_query,
 }
