@@ -59,6 +59,29 @@ _CONTINUES |= {(TWO_TO_COME, s): ONE_TO_COME for s in range(8)} | {(ONE_TO_COME,
 _BEGINS = np.array([[(state, s) not in _CONTINUES for s in range(8)] for state in range(8)])
 
 
+# Code points that the regex module's tables have as letters or numbers and the
+# tables of the tiktoken library, which are older, do not have.
+_UNKNOWN = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7
+10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6
+187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24
+1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF
+2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+
+
+@cache
+def classes() -> np.ndarray:
+    """The symbol of every code point, whatever follows it."""
+    to_symbol = np.zeros(4, np.int8)
+    to_symbol[[pretokens.LETTER, pretokens.NUMBER, pretokens.OTHER, pretokens.SPACE]] = LETTER, NUMBER, OTHER, MORE_WHITE
+    out = to_symbol[pretokens._classes()]
+    for some in _UNKNOWN.split():
+        ends = [int(x, 16) for x in some.split("-")]
+        out[ends[0] : ends[-1] + 1] = OTHER
+    return out
+
+
 class Automaton:
     """The transition functions that occur, numbered, and their compositions."""
 
@@ -107,9 +130,7 @@ def automaton() -> Automaton:
 def symbols(points: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """The symbol of every code point; ``heads`` are the places of the texts' first ones."""
     n = len(points)
-    to_symbol = np.zeros(4, np.int8)
-    to_symbol[[pretokens.LETTER, pretokens.NUMBER, pretokens.OTHER, pretokens.SPACE]] = LETTER, NUMBER, OTHER, MORE_WHITE
-    out = to_symbol[pretokens._classes()[points]]
+    out = classes()[points]
     ends = np.append(heads[1:], n) - 1  # the last place of every text
     last = np.zeros(n + 2, bool)
     last[ends] = True
