@@ -591,9 +591,19 @@ _STATEMENTS: dict[str, str] = {
               FROM ev)""",
 }
 _STATEMENTS["stream_compact"] = _STATEMENTS["compact_meter"]
+_STATEMENTS["upsert_buckets"] = _STATEMENTS["upsert_merge"]
+_STATEMENTS["bucket_window"] = """
+    SELECT site_id, sample_time, wh FROM (
+        SELECT site_id, time_bucket(INTERVAL 15 MINUTE, ev.sample_time) AS sample_time,
+               arg_max(wh, (id % 5 = 0, wh)) AS wh
+        FROM ev GROUP BY 1, 2)
+    WHERE site_id IN ('2', '5') AND sample_time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-19 23:45:00'"""
+VIEWS["v_battery_samples"] = _STATEMENTS["battery_translate"]
+_STATEMENTS["stream_battery_repair"] = _STATEMENTS["compact_battery"].replace("v_battery", "v_battery_samples")
 _STATEMENTS["trend_table_day_holes"] = _STATEMENTS["trend_table_day"]
 VIEWS["v_translated"] = _STATEMENTS["meter_translate"]
 _STATEMENTS["stream_meter_pipeline"] = _STATEMENTS["compact_meter"].replace("v_samples", "v_translated")
+_STATEMENTS["stream_meter_repair"] = _STATEMENTS["stream_meter_pipeline"]
 VIEWS["two_days"] = """
     SELECT * FROM v_prices WHERE sample_time BETWEEN TIMESTAMP '2024-01-15 00:00:00'
                                                  AND TIMESTAMP '2024-01-17 01:00:00'"""

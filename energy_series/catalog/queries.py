@@ -13,8 +13,8 @@ from ..functions import energy as e
 from ..functions import time as t
 from ..operators import counters, gaps, grid, ingest, interpolate, join, ordered, prices, shape, tariff
 from ..plans import bands, historic, quarter, trend
-from ..sources import payloads, tables
-from ..streaming import compaction, meters
+from ..sources import buckets, payloads, tables
+from ..streaming import compaction, meters, repair
 from . import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,6 +512,30 @@ def upsert_merge(spark, sf_dir):
     return spark.read.parquet(f"{shared}/table").select("site_id", TS, "kind", "wh")
 
 
+@query
+def upsert_buckets(spark, sf_dir):
+    """The batches of upsert_merge in a table of change files."""
+    writes = _ev(spark, sf_dir).select(
+        "site_id", t.bucket_start(TS, "15min").alias(TS), "kind", "wh", F.col("id").alias("seq")
+    )
+    table = buckets.BucketTable(spark, compaction.shared_folder(spark, "upsert_buckets"), buckets=4)
+    later = F.col("seq") % 3 == 0
+    for batch, rows in enumerate((writes.where(~later), writes.where(later).unionAll(writes.where(later)))):
+        table.upsert(rows, "query", batch, "seq")
+    return table.read().select("site_id", TS, "kind", "wh")
+
+
+@query
+def bucket_window(spark, sf_dir):
+    """Two sites' samples of ten days, from the files of a bucket table that can hold them."""
+    table = buckets.BucketTable(spark, compaction.shared_folder(spark, "bucket_window"), buckets=4)
+    ev = _ev(spark, sf_dir)
+    for batch, rows in enumerate((ev.where("id % 5 <> 0"), ev.where("id % 5 = 0"))):
+        slots = rows.groupBy("site_id", t.bucket_start(TS, "15min").alias(TS)).agg(F.max("wh").alias("wh"))
+        table.upsert(slots, "query", batch, unique=True)
+    return table.read(low="2024-01-10 00:00:00", high="2024-01-19 23:45:00", sites=["2", "5"])
+
+
 @query
 def stream_compact(spark, sf_dir):
     """The compaction as a stream over the event file, upserted into a table."""
@@ -540,6 +564,34 @@ def stream_meter_pipeline(spark, sf_dir):
     return rows.withColumns({c: F.col(c).cast("double") for c in COUNTERS})
 
 
+def _deliveries(spark, telegrams, kind, folder):
+    """The rows that a repairing stream makes of telegrams in three deliveries, each over the whole time."""
+    telegrams = telegrams.withColumn("delivery", F.col("id") % 3)
+    for delivery in range(3):
+        part = telegrams.where(F.col("delivery") == delivery).drop("delivery", "id")
+        part.write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(part.schema).parquet(f"{folder}/landed")
+        repair.repair_stream(landed, kind, f"{folder}/rows", f"{folder}/work", buckets=4).awaitTermination()
+    return repair.compacted_rows(spark, f"{folder}/rows", buckets=4).read()
+
+
+@query
+def stream_meter_repair(spark, sf_dir):
+    """Meter telegrams in three deliveries to compacted rows, repaired where a delivery changes them."""
+    telegrams = v.meter_telegrams(_ev(spark, sf_dir), "id")
+    rows = _deliveries(spark, telegrams, repair.METER, compaction.shared_folder(spark, "stream_meter_repair"))
+    return rows.withColumns({c: F.col(c).cast("double") for c in COUNTERS})
+
+
+@query
+def stream_battery_repair(spark, sf_dir):
+    """Battery telegrams in three deliveries to compacted rows."""
+    ev = _ev(spark, sf_dir)
+    telegrams = v.battery_telegrams(ev, "id")
+    rows = _deliveries(spark, telegrams, repair.BATTERY, compaction.shared_folder(spark, "stream_battery_repair"))
+    return rows.withColumns({c: F.round(c, 9) for c in ("soc", "soh")})
+
+
 # --- gaps -----------------------------------------------------------------------------
 
 

@@ -135,12 +135,12 @@ def meter_telegrams(events: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def battery_telegrams(events: DataFrame) -> DataFrame:
+def battery_telegrams(events: DataFrame, *more: str) -> DataFrame:
     def unit(shift: int):
         charge = ((F.col("id") * 5 + shift) % 1024) / 1024
         return F.struct(F.struct(charge.alias("state_of_charge")).alias("sessy"))
 
-    return events.select("site_id", TS, unit(1).alias("b1"), unit(2).alias("b2"))
+    return events.select("site_id", TS, unit(1).alias("b1"), unit(2).alias("b2"), *more)
 
 
 def meter_samples(events: DataFrame) -> DataFrame:
