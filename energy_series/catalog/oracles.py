@@ -591,6 +591,8 @@ _STATEMENTS: dict[str, str] = {
               FROM ev)""",
 }
 _STATEMENTS["stream_compact"] = _STATEMENTS["compact_meter"]
+_STATEMENTS["stream_keyed_compact"] = _STATEMENTS["compact_meter"]
+_STATEMENTS["stream_keyed_battery"] = _STATEMENTS["compact_battery"]
 _STATEMENTS["upsert_buckets"] = _STATEMENTS["upsert_merge"]
 _STATEMENTS["bucket_window"] = """
     SELECT site_id, sample_time, wh FROM (

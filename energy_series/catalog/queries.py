@@ -14,7 +14,7 @@ from ..functions import time as t
 from ..operators import counters, gaps, grid, ingest, interpolate, join, ordered, prices, shape, tariff
 from ..plans import bands, historic, quarter, trend
 from ..sources import buckets, payloads, tables
-from ..streaming import compaction, meters, repair
+from ..streaming import compaction, keyed, meters, repair
 from . import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -592,6 +592,33 @@ def stream_battery_repair(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 9) for c in ("soc", "soh")})
 
 
+def _keyed(spark, samples, kind, folder):
+    """The rows that keyed state makes of samples in three deliveries, each over the whole time."""
+    table = buckets.BucketTable(spark, f"{folder}/rows", buckets=4)
+    samples = samples.withColumn("delivery", F.col("id") % 3)
+    for delivery in range(3):
+        part = samples.where(F.col("delivery") == delivery).drop("delivery", "id")
+        part.write.mode("append").parquet(f"{folder}/landed")
+        landed = spark.readStream.schema(part.schema).parquet(f"{folder}/landed")
+        keyed.keyed_stream(landed, kind, table, f"{folder}/work", retention=366 * 86_400).awaitTermination()
+    return table.read()
+
+
+@query
+def stream_keyed_compact(spark, sf_dir):
+    """Meter samples compacted in keyed state over three deliveries."""
+    samples = v.meter_samples(_ev(spark, sf_dir), "id")
+    return _keyed(spark, samples, keyed.METER, compaction.shared_folder(spark, "stream_keyed_compact"))
+
+
+@query
+def stream_keyed_battery(spark, sf_dir):
+    """Battery samples compacted in keyed state over three deliveries."""
+    samples = v.battery(_ev(spark, sf_dir), "id")
+    rows = _keyed(spark, samples, keyed.BATTERY, compaction.shared_folder(spark, "stream_keyed_battery"))
+    return rows.withColumns({c: F.round(c, 9) for c in ("soc", "soh")})
+
+
 # --- gaps -----------------------------------------------------------------------------
 
 

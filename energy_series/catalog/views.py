@@ -98,10 +98,10 @@ def sites(events: DataFrame) -> DataFrame:
     return events.select("site_id", F.expr(MARKET_OF_SITE).alias("market_id")).distinct()
 
 
-def battery(events: DataFrame) -> DataFrame:
+def battery(events: DataFrame, *more: str) -> DataFrame:
     ev = events.where("kind = 'error'")
     return ev.select(
-        "site_id", TS, F.least("wh", F.lit(10000)).alias("soc"), F.lit(1000).alias("soh")
+        "site_id", TS, F.least("wh", F.lit(10000)).alias("soc"), F.lit(1000).alias("soh"), *more
     )
 
 
@@ -143,7 +143,7 @@ def battery_telegrams(events: DataFrame, *more: str) -> DataFrame:
     return events.select("site_id", TS, unit(1).alias("b1"), unit(2).alias("b2"), *more)
 
 
-def meter_samples(events: DataFrame) -> DataFrame:
+def meter_samples(events: DataFrame, *more: str) -> DataFrame:
     """Raw ``mains`` samples without history, as a stream would deliver them."""
     n = F.col("id")
     return events.select(
@@ -157,6 +157,7 @@ def meter_samples(events: DataFrame) -> DataFrame:
         (n * 6).alias("evp"),
         (2200 + n % 100).cast("int").alias("v1"),
         (500 + n % 5).cast("int").alias("frq"),
+        *more,
     )
 
 
