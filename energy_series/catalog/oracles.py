@@ -381,6 +381,9 @@ _STATEMENTS: dict[str, str] = {
     "range_periods": """
         SELECT o_orderkey, o_orderdate AS sample_time FROM orders
         WHERE o_orderdate >= TIMESTAMP '1998-02-28 10:00:00'""",
+    "range_periods_rollover": """
+        SELECT o_orderkey, o_orderdate AS sample_time FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1998-05-01 10:00:00' - INTERVAL 3 MONTH + INTERVAL 30 DAY""",
     "range_start_of_year": """
         SELECT o_orderkey, o_orderdate AS sample_time FROM orders
         WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
@@ -593,6 +596,18 @@ _STATEMENTS: dict[str, str] = {
 _STATEMENTS["stream_compact"] = _STATEMENTS["compact_meter"]
 _STATEMENTS["stream_keyed_compact"] = _STATEMENTS["compact_meter"]
 _STATEMENTS["stream_keyed_battery"] = _STATEMENTS["compact_battery"]
+_STATEMENTS["payload_accounting"] = """
+    SELECT 'prices' AS kind, market_id AS source, n_documents, coalesce(n_items, 0) AS n_items, coalesce(n_rows, 0) AS n_rows,
+           n_documents - coalesce(n_days, 0) AS n_no_items, 0::BIGINT AS n_no_time,
+           coalesce(n_items - n_rows, 0) AS n_no_amount
+    FROM (SELECT market_id, count(DISTINCT CAST(sample_time AS DATE)) AS n_documents FROM v_prices GROUP BY 1)
+    LEFT JOIN (SELECT market_id, count(DISTINCT CAST(sample_time AS DATE)) AS n_days, count(*) AS n_items,
+                      count(*) FILTER (NOT broken) AS n_rows
+               FROM price_docs GROUP BY 1) USING (market_id)
+    UNION ALL
+    SELECT 'solar', site_id, count(DISTINCT CAST(sample_time AS DATE)), count(DISTINCT time_bucket(INTERVAL 15 MINUTE, sample_time)),
+           count(DISTINCT time_bucket(INTERVAL 15 MINUTE, sample_time)), 0::BIGINT, 0::BIGINT, 0::BIGINT
+    FROM v_production GROUP BY site_id"""
 _STATEMENTS["upsert_buckets"] = _STATEMENTS["upsert_merge"]
 _STATEMENTS["bucket_window"] = """
     SELECT site_id, sample_time, wh FROM (

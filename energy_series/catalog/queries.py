@@ -243,6 +243,12 @@ def range_periods(spark, sf_dir):
     return tables.range_scan(_orders(spark, sf_dir), "1998-05-31 10:00:00", 2, "month")
 
 
+@query
+def range_periods_rollover(spark, sf_dir):
+    """The same window where February runs over into March."""
+    return tables.range_scan(_orders(spark, sf_dir), "1998-05-31 10:00:00", 2, "month", rollover=True)
+
+
 @query
 def range_start_of_year(spark, sf_dir):
     return tables.range_scan(
@@ -486,6 +492,19 @@ def solar_json_rows(spark, sf_dir):
     return payloads.solar_rows(payloads.parsed(v.solar_documents(spark, sf_dir), "solar"))
 
 
+@query
+def payload_accounting(spark, sf_dir):
+    """Documents and items of both kinds, and the rows and rejects that they became."""
+    views = {"prices": (v.price_documents, "market_id"), "solar": (v.solar_documents, "site_id")}
+    found = [
+        payloads.dealt(payloads.parsed(documents(spark, sf_dir), kind), kind, [key])
+        .groupBy(F.lit(kind).alias("kind"), F.col(key).alias("source"))
+        .agg(*payloads.counts())
+        for kind, (documents, key) in views.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query
 def charger_units(spark, sf_dir):
     return payloads.charger_rows(v.charger_totals(_ev(spark, sf_dir)))

@@ -149,8 +149,18 @@ def floor_to_step(epoch: str, seconds: int = QUARTER_SECONDS) -> Column:
     return F.expr(f"floor(({epoch}) / {int(seconds)}) * {int(seconds)}")
 
 
-def periods_before(as_of, periods: int, timeframe: str) -> str:
-    """``as_of`` moved back by calendar periods; month ends clamp to the shorter month."""
+def periods_before(as_of, periods: int, timeframe: str, rollover: bool = False) -> str:
+    """``as_of`` moved back by calendar periods.
+
+    Where the month that is reached is too short for the day, it clamps to its last day; with
+    ``rollover`` the days that are left over run into the month after it.
+    """
     if timeframe not in TIMEFRAME_SECONDS:
         raise ValueError(f"unknown timeframe {timeframe!r}")
-    return f"{wall(as_of)} - INTERVAL '{int(periods)}' {timeframe.upper()}"
+    start = wall(as_of)
+    if rollover and timeframe in ("month", "year"):
+        months = int(periods) * (12 if timeframe == "year" else 1)
+        day = f"CAST({start} AS DATE)"
+        moved = f"date_add(add_months(trunc({day}, 'month'), -{months}), day({day}) - 1)"
+        return f"(CAST({moved} AS TIMESTAMP_NTZ) + ({start} - CAST({day} AS TIMESTAMP_NTZ)))"
+    return f"{start} - INTERVAL '{int(periods)}' {timeframe.upper()}"

@@ -7,9 +7,10 @@ column to parse. Items that cannot be used are kept apart, not dropped silently.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -125,6 +126,63 @@ def solar_rejects(payloads: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return _solar_items(payloads, keys).where(F.col(TS).isNull()).select(*keys, "date", "value")
 
 
+# Why an item is not a row.
+NO_ITEMS, NO_TIME, NO_AMOUNT = "no items", "no time", "no amount"
+
+
+def dealt(payloads: DataFrame, kind: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Every item of price or solar documents, and every document without items, in one scan.
+
+    ``opens`` marks the first entry of a document, ``reason`` says why an entry is a reject and is null
+    for a row; ``date`` and ``amount`` are the texts, ``value`` is the price or the Wh of a row.
+    """
+    items = {"prices": _both_days(), "solar": F.col("energy.values")}[kind]
+    entries = payloads.select(*keys, F.posexplode_outer(items).alias("_pos", "item"))
+    when, what = {"prices": ("startsAt", "total"), "solar": ("date", "value")}[kind]
+    entries = entries.select(
+        *keys,
+        F.coalesce(F.col("_pos") == 0, F.lit(True)).alias("opens"),
+        F.col("_pos").isNull().alias("_none"),
+        F.col(f"item.{when}").alias("date"),
+        F.col(f"item.{what}").alias("amount"),
+        t.parse_wall(f"item.{when}").alias(TS),
+    )
+    if kind == "prices":
+        value, unusable = F.nanvl(F.col("amount").try_cast("double"), F.lit(None)), F.col("value").isNull()
+    else:
+        value, unusable = value_or_zero("amount").cast("double"), F.lit(False)
+    reason = F.when(F.col("_none"), NO_ITEMS).when(F.col(TS).isNull(), NO_TIME).when(unusable, NO_AMOUNT)
+    return entries.withColumn("value", value).withColumn("reason", reason).drop("_none")
+
+
+def counts() -> list[Column]:
+    """Documents, items, rows and rejects by reason of :func:`dealt` entries; whatever comes in is a
+    row or a reject: ``n_items + n_no_items = n_rows + n_no_items + n_no_time + n_no_amount``."""
+
+    def number(condition: Column, name: str) -> Column:
+        return F.count(F.when(condition, 1)).alias(name)
+
+    reason = F.col("reason")
+    return [
+        number(F.col("opens"), "n_documents"),
+        number(~reason.eqNullSafe(F.lit(NO_ITEMS)), "n_items"),
+        number(reason.isNull(), "n_rows"),
+        *[number(reason == r, f"n_{r.replace(' ', '_')}") for r in (NO_ITEMS, NO_TIME, NO_AMOUNT)],
+    ]
+
+
+def land(payloads: DataFrame, kind: str, path: str, keys: Sequence[str] = KEYS) -> dict[str, int]:
+    """Write rows and rejects of documents below ``path`` in one scan, and count them on the way.
+
+    The folders ``rejected=false`` and ``rejected=true`` hold the entries of :func:`dealt`; the counts are
+    observed while they are written, so they are those of what was written.
+    """
+    seen = Observation(f"land-{uuid.uuid4().hex}")
+    entries = dealt(payloads, kind, keys).withColumn("rejected", F.col("reason").isNotNull())
+    entries.observe(seen, *counts()).write.mode("overwrite").partitionBy("rejected").parquet(path)
+    return dict(seen.get)
+
+
 def _charger_time() -> Column:
     """The minute of a total; NULL where its date does not exist."""
     zero = F.lit(0)

@@ -53,8 +53,9 @@ def range_scan(
     include_today: bool = True,
     year: int | None = None,
     ts: str = TS,
+    rollover: bool = False,
 ) -> DataFrame:
-    """Rows of the last ``period + 1`` periods.
+    """Rows of the last ``period + 1`` periods (``rollover`` as in :func:`~energy_series.functions.time.periods_before`).
 
     ``from_start_of_year`` moves the start to January 1. ``include_today=False``
     leaves out the last 24 hours. ``year`` overrides all of it with a calendar
@@ -62,7 +63,7 @@ def range_scan(
     """
     if year is not None:
         return between(df, t.wall(f"{year:04d}-01-01"), t.wall(f"{year + 1:04d}-01-01"), ts)
-    low = t.periods_before(as_of, period + 1, timeframe)
+    low = t.periods_before(as_of, period + 1, timeframe, rollover)
     if from_start_of_year:
         low = f"CAST(trunc(CAST({low} AS DATE), 'year') AS TIMESTAMP_NTZ)"
     high = None if include_today else t.periods_before(as_of, 1, "day")
