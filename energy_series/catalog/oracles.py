@@ -608,6 +608,8 @@ _STATEMENTS["payload_accounting"] = """
     SELECT 'solar', site_id, count(DISTINCT CAST(sample_time AS DATE)), count(DISTINCT time_bucket(INTERVAL 15 MINUTE, sample_time)),
            count(DISTINCT time_bucket(INTERVAL 15 MINUTE, sample_time)), 0::BIGINT, 0::BIGINT, 0::BIGINT
     FROM v_production GROUP BY site_id"""
+_STATEMENTS["trend_pyramid_day"] = _STATEMENTS["trend_table_day"]
+_STATEMENTS["battery_soc_pyramid"] = _STATEMENTS["battery_soc_daily"]
 _STATEMENTS["upsert_buckets"] = _STATEMENTS["upsert_merge"]
 _STATEMENTS["bucket_window"] = """
     SELECT site_id, sample_time, wh FROM (

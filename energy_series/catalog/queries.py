@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -12,7 +13,7 @@ from ..columns import COUNTERS, TS
 from ..functions import energy as e
 from ..functions import time as t
 from ..operators import counters, gaps, grid, ingest, interpolate, join, ordered, prices, shape, tariff
-from ..plans import bands, historic, quarter, trend
+from ..plans import bands, historic, pyramid, quarter, trend
 from ..sources import buckets, payloads, tables
 from ..streaming import compaction, keyed, meters, repair
 from . import views as v
@@ -180,6 +181,32 @@ def trend_presets(spark, sf_dir):
     return frames["HOME"]
 
 
+def _pyramid(spark, make, name, rows):
+    """A pyramid of two batches; the first lacks some samples, the second repairs what they change."""
+    built = make(spark, compaction.shared_folder(spark, name), buckets=4)
+    for batch, some in enumerate(rows):
+        built.update(some, batch)
+    return built
+
+
+@query
+def trend_pyramid_day(spark, sf_dir):
+    """trend_table_day from the level of days."""
+    whole = v.tables(spark, sf_dir)
+    partly = dataclasses.replace(whole, mains=whole.mains.where(F.second(TS) % 7 != 0))
+    rows = [pyramid.energy_rows(some) for some in (partly, whole)]
+    return pyramid.energy_table(_pyramid(spark, pyramid.energy_pyramid, "trend_pyramid_day", rows), "d")
+
+
+@query
+def battery_soc_pyramid(spark, sf_dir):
+    """battery_soc_daily from the level of days."""
+    battery = v.battery(_ev(spark, sf_dir))
+    rows = [pyramid.charge_rows(some) for some in (battery.where(F.second(TS) % 7 != 0), battery)]
+    table = pyramid.charge_table(_pyramid(spark, pyramid.charge_pyramid, "battery_soc_pyramid", rows), "d")
+    return _rounded(table, "soc")
+
+
 @query
 def monthly_report(spark, sf_dir):
     report = trend.monthly_report(v.tables(spark, sf_dir), TREND_AS_OF, holes=False)

@@ -248,6 +248,11 @@ class BucketTable:
         newest = F.max_by(F.struct(*rest), "v").alias("_row")
         return rows.groupBy(*keyed).agg(newest).select(*keyed, "_row.*").select(*schema.names)
 
+    def change(self, version: int) -> DataFrame:
+        """The rows that one version wrote."""
+        schema = self._schema(version)
+        return self._scan([self._folder("changes", version)], schema).select(*schema.names)
+
     def read(
         self,
         places: Places | None = None,
