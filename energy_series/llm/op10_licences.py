@@ -9,8 +9,10 @@ paragraphs of the corpus (families) and to such paragraphs and other notices (un
 a bounded sample: the ``SAMPLE`` paragraphs with the smallest hashes. A fifth of the examples
 calibrates: a family needs a probability above what ``CALIBRATION`` of the unknown examples
 reach. Classified are the whole line, and every run of words, some in the line, that has ``CONFIRM`` of the word
-pairs of a notice, from its first to its last. A predicted family is confirmed if the line, or the run, has so
-many pairs of one of its notices; a candidate has all families confirmed, or is unknown. DataFrame expressions only; scanning needs
+pairs of a notice, from its first to its last. Neighbours of a family differ in a word or a number, so a run must
+have every pair of the notice with a name or a number in it, as they stand, must not be negated, and must not be next
+to another version than the family's. A predicted family is confirmed by such a run of one of its
+notices; a candidate has all families confirmed, or is unknown. DataFrame expressions only; scanning needs
 no shuffle, and the weights are bounded by the notices.
 
 Defined cases: a null or empty text has no candidates; texts are scanned whole; every
@@ -66,8 +68,13 @@ OTHERS = (
     "see the file LICENSE for details",
     "This copyright notice must stay",
 )
+#: Words that tell licences apart, as numbers do; words before a notice that turn it round.
+NAMES = frozenset("apache attribution by cc commons creative general gnu mit mozilla nc noncommercial public".split())
+NEGATIONS = ("not", "no", "never", "without")
+#: The version of a family whose notices need not say it, and others of its kind.
+VERSIONS = {"gpl-3.0": ("version 3", ("version 1", "version 2"))}
 #: Parts of words and phrases, one of which every candidate has.
-SIGNS = ("licens", "licence", "copyright", "rights reserved", "redistribut", "permission is")
+SIGNS = ("licens", "licence", "copyright", "rights reserved", "redistribut", "permission is", "permission to use")
 FAMILIES = sorted(NOTICES)
 
 
@@ -79,6 +86,12 @@ def _runs_of(words: list[str], sizes: tuple[int, ...] = (2, 3)) -> list[str]:
     return [" ".join(words[i : i + n]) for n in sizes for i in range(len(words) - n + 1)]
 
 
+def _telling(notice: str) -> list[str]:
+    """The word pairs of a notice that tell it from its neighbours."""
+    pairs = sorted(set(_runs_of(_plain(notice), (2,))))
+    return [p for p in pairs if any(w in NAMES or w.isdigit() for w in p.split())]
+
+
 def vocabulary() -> list[str]:
     return sorted({g for notices in NOTICES.values() for n in notices for g in _runs_of(_plain(n))})
 
@@ -152,36 +165,50 @@ def paragraphs(df: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def _fitting(words: Column, pairs: Column, begin: Column, end: Column, family: str, notice: str) -> Column:
-    """``family`` and ``words`` of the runs that have enough of a notice's word pairs, one of them with a word from
+    """``backed``, the family, and ``words`` of the runs that have enough of a notice's word pairs, one of them with a word from
     ``begin`` to before ``end``."""
     own = sorted(set(_runs_of(_plain(notice), (2,))))
     length = len(_plain(notice))
     reach = length - 2 + length // 4
     is_own = lambda pair: F.array_contains(_literals(own), pair)
-    enough = lambda hits: F.size(F.array_distinct(F.transform(hits, lambda h: F.get(pairs, h)))) / F.lit(len(own)) >= CONFIRM
+    telling = _telling(notice)
+
+    def enough(hits: Column) -> Column:
+        found = F.array_distinct(F.transform(hits, lambda h: F.get(pairs, h)))
+        most = F.size(found) / F.lit(len(own)) >= CONFIRM
+        return most & (F.size(F.array_intersect(found, _literals(telling))) == len(telling)) if telling else most
+
+    negated = lambda near: F.coalesce(F.get(words, near[0] - 1).isin(*NEGATIONS), F.lit(False))
+    other = F.lit(False)
+    if family in VERSIONS:
+        own_version, others = VERSIONS[family]
+        other = F.arrays_overlap(pairs, _literals(list(others))) & ~F.array_contains(pairs, own_version)
     in_line = lambda hits: F.exists(hits, lambda h: (h >= begin - 1) & (h < end))
 
     def runs(hits: Column) -> Column:
         near = F.transform(hits, lambda s: F.filter(F.sequence(s, s + reach), lambda i: is_own(F.get(pairs, i))))
         piece = lambda near: F.slice(words, near[0] + 1, F.element_at(near, -1) - near[0] + 2)
-        fits = F.filter(near, lambda near: enough(near) & in_line(near))
-        return F.transform(fits, lambda near: F.struct(F.lit(family).alias("family"), piece(near).alias("words")))
+        fits = F.filter(near, lambda near: enough(near) & in_line(near) & ~negated(near) & ~other)
+        return F.transform(fits, lambda near: F.struct(F.array(F.lit(family)).alias("backed"), piece(near).alias("words")))
 
     hits = F.filter(F.transform(pairs, lambda p, i: F.when(is_own(p), i)), lambda i: i.isNotNull())
     return F.flatten(F.transform(F.filter(F.array(hits), enough), runs))
 
 
 def _runs(x: Column) -> Column:
-    """``family`` and ``words`` of the runs of words in and next to a candidate that fit a notice; the line itself
-    is the first, without a family."""
-    line = F.struct(F.lit(None).cast("string").alias("family"), _words(x["line"]).alias("words"))
+    """``backed`` and ``words`` of the runs of words in and next to a candidate that fit a notice; the line itself
+    is the first, backed by the families of all of them."""
+
+    def with_line(found: Column) -> Column:
+        families = F.flatten(F.transform(found, lambda r: r["backed"]))
+        return F.concat(F.array(F.struct(families.alias("backed"), _words(x["line"]).alias("words"))), found)
 
     def of(words: Column) -> Column:
         begin = F.size(x["before"])
         end = begin + F.size(x["words"])
         known = [(family, notice) for family, notices in NOTICES.items() for notice in notices]
-        found = lambda pairs: F.concat(F.array(line), *[_fitting(words, pairs, begin, end, *k) for k in known])
-        return F.get(F.transform(F.array(_pairs(words)), found), F.lit(0))
+        found = lambda pairs: F.concat(*[_fitting(words, pairs, begin, end, *k) for k in known])
+        return F.get(F.transform(F.transform(F.array(_pairs(words)), found), with_line), F.lit(0))
 
     return F.get(F.transform(F.array(F.concat(x["before"], x["words"], x["after"])), of), F.lit(0))
 
@@ -200,15 +227,14 @@ class Classifier:
         """The families confirmed of one candidate, a struct of ``paragraphs``."""
         table = F.create_map(*[x for g, w in self.weights.items() for x in (F.lit(g), F.array(*map(F.lit, w)))])
         known = _literals(list(self.weights))
-        runs = F.transform(_runs(candidate), lambda r: F.struct(r["family"].alias("family"), _grams(r["words"]).alias("grams")))
+        runs = F.transform(_runs(candidate), lambda r: F.struct(r["backed"].alias("backed"), _grams(r["words"]).alias("grams")))
 
         def classed(r: Column) -> Column:
-            have = r["grams"]
             start = F.array(*map(F.lit, self.bias))
             logits = F.aggregate(
-                F.array_intersect(have, known), start, lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b)
+                F.array_intersect(r["grams"], known), start, lambda acc, g: F.zip_with(acc, F.element_at(table, g), lambda a, b: a + b)
             )
-            return F.struct(r["family"].alias("family"), have.alias("grams"), logits.alias("logits"))
+            return F.struct(r["backed"].alias("backed"), logits.alias("logits"))
 
         names = _literals([*FAMILIES, UNKNOWN])
 
@@ -216,16 +242,10 @@ class Classifier:
             top = F.array_max(x["logits"])
             total = F.aggregate(x["logits"], F.lit(0.0), lambda a, v: a + F.exp(v - top))
             name = F.element_at(names, F.array_position(x["logits"], top).cast("int"))
-            return F.struct(x["family"].alias("family"), x["grams"].alias("grams"), name.alias("name"), (F.lit(1.0) / total).alias("probability"))
+            return F.struct(x["backed"].alias("backed"), name.alias("name"), (F.lit(1.0) / total).alias("probability"))
 
         def confirmed(x: Column) -> Column:
-            fits = F.lit(False)
-            for family, notices in NOTICES.items():
-                for notice in notices:
-                    pairs = _runs_of(_plain(notice), (2,))
-                    share = F.size(F.array_intersect(x["grams"], _literals(pairs))) / F.lit(len(set(pairs)))
-                    fits = fits | ((x["name"] == family) & (share >= CONFIRM))
-            fits = F.when(x["family"].isNull(), fits).otherwise(x["name"] == x["family"])
+            fits = F.array_contains(x["backed"], x["name"])
             return F.when(fits & (x["probability"] >= self.least), x["name"])
 
         names_of = F.transform(F.transform(F.transform(runs, classed), decided), confirmed)
