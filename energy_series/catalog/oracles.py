@@ -610,6 +610,11 @@ _STATEMENTS["payload_accounting"] = """
     FROM v_production GROUP BY site_id"""
 _STATEMENTS["trend_pyramid_day"] = _STATEMENTS["trend_table_day"]
 _STATEMENTS["battery_soc_pyramid"] = _STATEMENTS["battery_soc_daily"]
+_STATEMENTS["landed_meter_files"] = _STATEMENTS["meter_translate"]
+_STATEMENTS["landed_battery_files"] = _STATEMENTS["battery_translate"]
+_STATEMENTS["price_dump"] = _STATEMENTS["price_json_rows"]
+_STATEMENTS["report_file"] = _STATEMENTS["trend_table_day"]
+_STATEMENTS["created_table"] = _STATEMENTS["compact_battery"]
 _STATEMENTS["upsert_buckets"] = _STATEMENTS["upsert_merge"]
 _STATEMENTS["bucket_window"] = """
     SELECT site_id, sample_time, wh FROM (

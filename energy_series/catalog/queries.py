@@ -519,6 +519,53 @@ def solar_json_rows(spark, sf_dir):
     return payloads.solar_rows(payloads.parsed(v.solar_documents(spark, sf_dir), "solar"))
 
 
+def _landed(spark, telegrams, kind):
+    """Telegrams written as the files that a gateway lands, and read by the file source."""
+    folder = compaction.shared_folder(spark, f"landed_{kind}")
+    telegrams.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(folder)
+    return payloads.read_json(spark, kind, folder)
+
+
+@query
+def landed_meter_files(spark, sf_dir):
+    rows = ingest.translate_meter(_landed(spark, v.meter_telegrams(_ev(spark, sf_dir)), "meter"))
+    return rows.withColumns({c: F.col(c).cast("double") for c in (*COUNTERS, "v1", "frq")})
+
+
+@query
+def landed_battery_files(spark, sf_dir):
+    return ingest.translate_battery(_landed(spark, v.battery_telegrams(_ev(spark, sf_dir)), "battery"))
+
+
+@query
+def price_dump(spark, sf_dir):
+    """Price rows dumped as JSON and read back."""
+    folder = compaction.shared_folder(spark, "price_dump")
+    rows = payloads.price_rows(payloads.parsed(v.price_documents(spark, sf_dir), "prices"))
+    tables.write_rows_json(rows, folder)
+    return spark.read.schema(rows.schema).json(folder)
+
+
+@query
+def report_file(spark, sf_dir):
+    """The table of days written as a report and read back."""
+    folder = compaction.shared_folder(spark, "report_file")
+    report = trend_table_day(spark, sf_dir)
+    tables.write_report(report, folder)
+    return spark.read.schema(report.schema).option("header", True).csv(folder)
+
+
+@query
+def created_table(spark, sf_dir):
+    """A table made from its known layout, filled and read."""
+    folder = compaction.shared_folder(spark, "created_table")
+    tables.create_table(spark, "battery", f"{folder}/battery")
+    rows = ingest.compact_battery(v.battery(_ev(spark, sf_dir)))
+    tables.upsert(rows, f"{folder}/battery", f"{folder}/staging", 0)
+    stored = tables.read_table(spark, "battery", f"{folder}/battery").drop(tables.PARTITION)
+    return _rounded(stored, "soc", "soh")
+
+
 @query
 def payload_accounting(spark, sf_dir):
     """Documents and items of both kinds, and the rows and rejects that they became."""
