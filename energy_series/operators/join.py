@@ -25,13 +25,16 @@ def with_prices(
     Prices belong to a market, not to a site, and hold one row per market and
     slot. ``price_keys`` names the columns of ``series`` that identify the market
     (see :func:`with_market`). Without them there must be one market: a second one in
-    the price table is an error, since each slot would meet the prices of both. The
+    the price table is an error, also one whose slots are others than the first one's, since
+    sites would meet the prices of both. That is looked up when the join is made. The
     size of the price side is not known here; adaptive execution broadcasts it when
     its measured size allows and shuffles it otherwise.
     """
     market = prices.select(*price_keys, ts, "price")
     if not price_keys and MARKET[0] in prices.columns:
         id_ = MARKET[0]
+        if len(prices.select(id_).distinct().limit(2).collect()) > 1:
+            raise ValueError("prices of several markets need price_keys or sites")
         several = F.raise_error(F.lit("prices of several markets need price_keys or sites"))
         price = F.when(F.min(id_).eqNullSafe(F.max(id_)), F.max("price")).otherwise(several)
         market = prices.groupBy(ts).agg(price.alias("price"))

@@ -28,6 +28,9 @@ def test_two_markets_without_keys_are_an_error(rows):
     assert join.with_prices(series, rows(PRICES, TWO[:1])).count() == 1
     with pytest.raises(Exception, match="several markets"):
         join.with_prices(series, rows(PRICES, TWO)).collect()
+    apart = [("NL", "2024-01-01 00:00:00", 0.1), ("BE", "2024-01-01 00:15:00", 0.2)]
+    with pytest.raises(ValueError, match="several markets"):
+        join.with_prices(series, rows(PRICES, apart))
 
 
 def test_a_site_without_market_is_an_error(rows):
