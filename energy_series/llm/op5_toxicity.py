@@ -289,7 +289,8 @@ def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "
     ]
     ids = F.broadcast(some[0].union(some[1]).withColumnRenamed("doc_id", "id"))  # at most the sum of the two bounds
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(ids, F.col("k") == F.col("id"))
-    rows = rows.filter("t is not null").dropDuplicates(["k"]).select("k", "t", "toxic").collect()
+    # Of different texts with one id the least, so that the sample doesn't depend on the order of rows.
+    rows = rows.filter("t is not null").groupBy("k").agg(F.min("t").alias("t"), F.max("toxic").alias("toxic")).collect()
     rows = sorted(rows, key=lambda r: r["k"])
     return fit([r["t"] for r in rows], [r["toxic"] for r in rows])
 
