@@ -187,13 +187,13 @@ class BucketTable:
         oldest = max(newest - keep + 1, 1)
         later = self.log(newest).where(F.col("part").isNotNull() & (F.col("v") > oldest))
         needed = self.entries(oldest).select("v", "part", "bucket").unionByName(later.select("v", "part", "bucket"))
-        wanted = {self._file(*row) for row in needed.distinct().collect()}
+        wanted = {tuple(self._file(*row).split("/")[-3:]) for row in needed.distinct().collect()}
         fs, pattern = tables._file_system(self.spark, f"{self.path.rstrip('/')}/changes/v=*/part=*/bucket=*")
         removed = 0
         for status in fs.globStatus(pattern) or []:
             place = status.getPath()
-            name = "/".join([place.getParent().getParent().getName(), place.getParent().getName(), place.getName()])
-            if int(name[2:11]) <= newest and not any(f.endswith(name) for f in wanted):
+            name = place.getParent().getParent().getName(), place.getParent().getName(), place.getName()
+            if int(name[0][2:]) <= newest and name not in wanted:
                 removed += bool(fs.delete(place, True))
         return removed
 
