@@ -23,6 +23,7 @@ from .prefix_tree import spanning_links
 
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 1 << 19
+DEALS = 12
 
 
 def _lists(values: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -107,13 +108,30 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _parts(low: int, high: int, similarity: tuple[int, int]) -> tuple[int, int]:
+    """The number of parts for sets of ``low`` to ``high`` shingles, and how many of them may be empty.
+
+    Linked sets differ in fewer places than there are parts without the spare ones, of which there are as many as may be
+    empty: about what a set of ``low`` shingles leaves empty by chance.
+    """
+    num, den = similarity
+    needed = high * (den - num) // num + 1
+    by_chance = needed * np.exp(-low / needed) if needed > 1 else 0.0
+    spare = int(by_chance + np.sqrt(by_chance) + 0.5)
+    return needed + spare, spare
+
+
 def _by_parts(similarity: tuple[int, int]) -> Callable:
     """Keys by which every two linked sets meet.
 
     Two sets of which the larger has y shingles differ in at most ``y * (1 - s) / s``
-    places. Where shingles are dealt to one part more than that, some part is equal in
-    both. The number of parts follows the size class of the larger set, and a class
+    places. Where shingles are dealt to one part more than that and to ``spare`` further parts,
+    ``spare + 1`` parts are equal in both. The number of parts follows the size class of the larger set, and a class
     reaches up by ``1 / s``, so a set has keys for its own class and for the next.
+
+    A part without shingles says nothing and has no key. Two linked sets that are equal in empty parts alone have more
+    than ``spare`` of these each, so each such set is dealt anew, with another seed, and they meet
+    there or are dealt anew again. Only what still has too many empty parts after ``DEALS`` deals has keys for empty ones.
     """
     num, den = similarity
 
@@ -122,28 +140,34 @@ def _by_parts(similarity: tuple[int, int]) -> Callable:
         while bounds[-1] <= max(n.max(initial=0), 1):
             bounds.append(bounds[-1] * den // num + 1)
         bounds += [bounds[-1] * den // num + 1, (bounds[-1] * den // num + 1) * den // num + 1]
-        bounds = np.array(bounds)
-        own = np.searchsorted(bounds, n, "right") - 1
+        limits = [_parts(bounds[max(i - 1, 0)], bounds[i + 1] - 1, similarity) for i in range(len(bounds) - 1)]
+        total, spare = (np.array(x) for x in zip(*limits, strict=True))
+        own = np.searchsorted(np.array(bounds), n, "right") - 1
         doc = np.repeat(np.arange(len(n)), n)
         found = []
         for up in (0, 1):
-            parts = ((bounds[own + up + 1] - 1) * (den - num) // num + 1)[doc]
-            part = ((hashes >> np.uint64(32)) % parts.astype(np.uint64)).astype(np.int64)
-            order = np.lexsort((part, doc))
-            d, p, h = doc[order], part[order], shingles.mix(hashes[order] ^ np.uint64(0x5851F42D4C957F2D))
-            new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (p[1:] != p[:-1]))[: len(d)])
-            if len(new):
-                total = np.add.reduceat(h, new)
-                where = (own[d[new]] + up).astype(np.uint64) * np.uint64(1 << 40) + p[new].astype(np.uint64)
-                found.append((d[new], shingles.mix(total ^ shingles.mix(where))))
-            count = np.where(n > 0, (bounds[own + up + 1] - 1) * (den - num) // num + 1, 0)
-            full = np.bincount(d[new], minlength=len(n))
-            lacking = np.flatnonzero(full < count)  # sets with an empty part: two may be equal in that alone
-            for i in lacking:
-                there = set(p[new][d[new] == i].tolist())
-                gone = np.array([j for j in range(count[i]) if j not in there], np.uint64)
-                where = np.uint64(own[i] + up) * np.uint64(1 << 40) + gone
-                found.append((np.full(len(gone), i), shingles.mix(shingles.mix(where))))
+            size_class = own + up
+            d, h = doc, hashes
+            for deal in range(DEALS):
+                if not len(d):
+                    break
+                seed = shingles.mix(np.uint64([deal]))[0] if deal else np.uint64(0)
+                dealt = shingles.mix(h ^ seed) if deal else h
+                part = ((dealt >> np.uint64(32)) % total[size_class[d]].astype(np.uint64)).astype(np.int64)
+                order = np.lexsort((part, d))
+                od, op = d[order], part[order]
+                new = np.flatnonzero(np.append(True, (od[1:] != od[:-1]) | (op[1:] != op[:-1])))
+                sums = np.add.reduceat(shingles.mix(h[order] ^ np.uint64(0x5851F42D4C957F2D)), new)
+                nd, place = od[new], _place(size_class[od[new]], deal, op[new])
+                found.append((nd, shingles.mix(sums ^ shingles.mix(place))))
+                full = np.bincount(nd, minlength=len(n))
+                again = (full > 0) & (total[size_class] - full > spare[size_class])
+                if deal == DEALS - 1:
+                    for i in np.flatnonzero(again):
+                        gone = np.setdiff1d(np.arange(total[size_class[i]]), op[new][nd == i])
+                        place = _place(np.full(len(gone), size_class[i]), deal, gone)
+                        found.append((np.full(len(gone), i), shingles.mix(shingles.mix(place))))
+                d, h = d[again[d]], h[again[d]]
         if not found:
             return _lists(np.zeros(0, np.uint64), np.zeros(len(n), np.int64))
         doc, key = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -153,6 +177,11 @@ def _by_parts(similarity: tuple[int, int]) -> Callable:
     return keys
 
 
+def _place(size_class: np.ndarray, deal: int, part: np.ndarray) -> np.ndarray:
+    """A number for a part of a deal of a size class."""
+    return (size_class.astype(np.uint64) * np.uint64(DEALS) + np.uint64(deal)) * np.uint64(1 << 40) + part.astype(np.uint64)
+
+
 def _shingles(docs: DataFrame, chosen: DataFrame, size: int, meet: Callable | None = None) -> DataFrame:
     """``set_id``, ``shingles`` and, with ``meet``, ``meets`` of the texts whose ``key`` and ``set_id`` are chosen."""
     texts = docs.join(chosen.hint("merge"), "key").select("set_id", "text")
