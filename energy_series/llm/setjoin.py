@@ -3,8 +3,8 @@
 Equal sets are one class. A doubtful class survives only if enough of its shingles occur
 elsewhere. Survivors meet by keys that a candidate function gives them; the connected
 components of "meets" are clusters, and the sets of a cluster are joined with each other
-in prefix trees. A cluster of many sets is cut into blocks, and every pair of blocks is
-a task of its own, so no group is collected whole; tasks return links that span what
+in prefix trees. A cluster of many sets is cut into blocks, so no group is collected whole. Blocks
+meet a few pivots first and only what these leave apart is joined block by block; tasks return links that span what
 they found, never all pairs.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, shingles
@@ -24,6 +24,7 @@ from .prefix_tree import spanning_links
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 1 << 19
 DEALS = 12
+PIVOTS = 8
 
 
 def _lists(values: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -257,26 +258,59 @@ def components_of(
     )
 
 
+def _blocks(of: Column | bool = True) -> Column:
+    """The number of blocks that a cluster's sets ``of`` a kind take, as an aggregate; 0 if there are none."""
+    sets, held = F.count(F.when(F.lit(of), 1)), F.sum(F.when(F.lit(of), F.col("n")))
+    return F.greatest(F.ceil(sets / BLOCK_SETS), F.ceil(F.coalesce(held, F.lit(0)) / BLOCK_SHINGLES)).cast("int")
+
+
 def _cluster_links(sets: DataFrame, clusters: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``a``, ``b``: links that connect what a Jaccard join of each cluster connects."""
+    """``a``, ``b``: links that connect what a Jaccard join of each cluster connects.
+
+    Every block is joined with itself and with its cluster's pivots, which connects most of a large group of near
+    copies. Connected sets need no comparison: what is left to join are the sets outside the cluster's
+    largest component, with each other and with those inside. A set inside goes to the blocks of outside sets alone.
+    """
     sizes = sets.select("set_id", F.size("shingles").cast("long").alias("n")).distinct()
     placed = clusters.withColumnRenamed("node", "set_id").join(sizes, "set_id")
-    cut = placed.groupBy("root").agg(
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1).cast("long")
-        ).cast("int").alias("blocks")
-    )
-    own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("own")
-    dealt = common.written(placed.join(cut, "root").select("root", "set_id", "blocks", own), "blocks")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = sets.join(dealt.hint("merge"), "set_id").select("root", "set_id", "shingles", "own", other).select(
-        F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
+    pivots = F.array(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(i))) for i in range(PIVOTS)])
+    cut = placed.groupBy("root").agg(_blocks().alias("blocks"), pivots.alias("pivots"))
+    own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
+    pivot = F.array_contains("pivots", F.col("set_id"))
+    dealt = placed.join(cut, "root").select("root", "set_id", "n", "blocks", own.alias("own"), pivot.alias("pivot"))
+    dealt = common.written(dealt, "blocks")
+    at = F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))).alias("i")
+    near = _joined(sets, dealt.select("root", "set_id", F.lit(False).alias("second"), at).withColumn("j", F.col("i")), similarity)
+    large = dealt.filter("blocks > 1").select("root", "set_id", "n")
+    if large.isEmpty():
+        return near
+    near = common.written(near, "near")
+    connected = components(near).select(F.col("node").alias("set_id"), F.col("root").alias("component"))
+    component = F.coalesce("component", "set_id").alias("component")
+    large = common.written(large.join(connected, "set_id", "left").select("root", "set_id", "n", component), "connected")
+    counts = large.groupBy("root", "component").agg(F.count("*").alias("sets"), F.sum("n").alias("n"))
+    largest = counts.groupBy("root").agg(F.max_by("component", F.struct("sets", "component")).alias("largest"))
+    large = large.join(largest, "root").withColumn("outside", F.col("component") != F.col("largest"))
+    cut = large.groupBy("root").agg(_blocks(~F.col("outside")).alias("inner"), _blocks(F.col("outside")).alias("outer")).filter("outer > 0")
+    cut = common.written(cut, "outside")
+    hashed = F.xxhash64("set_id")
+    own = F.when(F.col("outside"), F.col("inner") + F.pmod(hashed, F.col("outer"))).otherwise(F.pmod(hashed, F.col("inner"))).cast("int")
+    others = F.sequence(F.when(F.col("outside"), 0).otherwise(F.col("inner")), F.col("inner") + F.col("outer") - 1)
+    left = large.join(cut, "root").select("root", "set_id", own.alias("own"), F.explode(others).alias("other"))
+    far = left.select(
         "root",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
         "set_id",
-        "shingles",
         (F.col("own") > F.col("other")).alias("second"),
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+    )
+    return near.union(_joined(sets, far, similarity))
+
+
+def _joined(sets: DataFrame, dealt: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a``, ``b``: links that span what each pair of blocks (``root``, ``i``, ``j``) connects."""
+    pairs = sets.join(dealt.hint("merge"), "set_id").select(
+        F.xxhash64("root", "i", "j").alias("pair"), "root", "i", "j", "set_id", "shingles", "second"
     )
     n = common.partitions(sets.sparkSession)
     pairs = pairs.repartition(n, "pair").sortWithinPartitions("pair", "root", "i", "j")

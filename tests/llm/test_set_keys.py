@@ -1,8 +1,11 @@
 """Meeting keys of shingle sets: linked sets always meet, unrelated ones don't."""
 
 import numpy as np
+import pytest
 
-from energy_series.llm import setjoin
+from energy_series.llm import op3_jaccard_join, setjoin
+
+from test_operators import brute_components, docs  # noqa: F401
 
 SIMILARITY = (9, 10)
 
@@ -73,3 +76,45 @@ def test_empty_sets_and_no_sets_have_no_keys():
     assert _keys([[], np.uint64([5]), []])[0] == []
     assert setjoin._by_parts(SIMILARITY)(np.zeros(0, np.uint64), np.zeros(0, np.int64)).to_pylist() == []
     assert setjoin._by_parts(SIMILARITY)(np.zeros(0, np.uint64), np.zeros(3, np.int64)).to_pylist() == [[], [], []]
+
+
+def _family(center, count, edits, rng):
+    """Texts that each differ from ``center`` in a few words of their own."""
+    out = []
+    for _ in range(count):
+        words = list(center)
+        for _ in range(edits):
+            words[rng.integers(len(words))] = f"x{rng.integers(10**9)}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("edits", [1, 2, 4])
+def test_blocks_and_pivots_equal_brute_force(docs, monkeypatch, edits):
+    monkeypatch.setattr(setjoin, "BLOCK_SETS", 4)
+    monkeypatch.setattr(setjoin, "PIVOTS", 2)
+    rng = np.random.default_rng(edits)
+    center = [f"c{i}" for i in range(90)]
+    half = [f"h{i}" for i in range(45)]
+    texts = [" ".join(center), *_family(center, 40, edits, rng), *_family(center[:45] + half, 15, edits, rng)]
+    rows = list(enumerate(texts))
+    got = op3_jaccard_join.jaccard_components(docs(rows)).collect()
+    assert {tuple(r) for r in got} == brute_components(rows, 3, 9, 10)
+
+
+def test_a_group_of_near_copies_takes_no_pairs_of_blocks(docs, monkeypatch):
+    """Sets that a pivot connects go to one block each, and the pivots to every block."""
+    monkeypatch.setattr(setjoin, "BLOCK_SETS", 4)
+    joined, plain = [], setjoin._joined
+
+    def counted(sets, dealt, similarity):
+        joined.append(dealt.count())
+        return plain(sets, dealt, similarity)
+
+    monkeypatch.setattr(setjoin, "_joined", counted)
+    rng = np.random.default_rng(5)
+    rows = list(enumerate(_family([f"c{i}" for i in range(200)], 64, 1, rng)))
+    got = op3_jaccard_join.jaccard_components(docs(rows)).collect()
+    assert {r.component_id for r in got} == {0}
+    blocks = 64 // setjoin.BLOCK_SETS
+    assert joined[0] <= 64 + setjoin.PIVOTS * blocks and joined[1:] == [0]
