@@ -9,7 +9,7 @@ eight tokens or more, ten where it has five to seven; shorter records always sta
 Recurring records are dropped everywhere but in one text, that of the smallest
 MD5, so what they say is kept once. ``clean`` also cuts at the stops of Chinese and Japanese, and judges
 runs: of a short record (under ``MANY_TOKENS`` tokens), the adjacent records from it on and those up to it that
-weigh ``RUN`` words together; if another text has such a run, word for word, all texts but the one of the
+weigh ``RUN`` words together; if another text has such a run, word for word (up to equal 64-bit hashes), all texts but the one of the
 smallest MD5 lose the short record. A word weighs one, two characters of a script without blanks do, too. DataFrame expressions only; leaves are counted with
 partial aggregates, so a template that a third of all documents share is no hot key.
 
@@ -86,51 +86,61 @@ def dropped(df: DataFrame, text: str = "text", stops: str = "") -> DataFrame:
 
 
 def _weighed(all_records: Column) -> Column:
-    """``i``, ``body``, ``weight`` and whether it is ``short``, of every record that is not blank."""
+    """``i``, a hash ``body``, ``weight`` and whether it is ``short``, of every record that is not blank."""
 
-    def one(record: Column, i: Column) -> Column:
+    def words(record: Column, i: Column) -> Column:
         body = F.array_join(F.array_remove(F.split(record, r"\s+", -1), ""), " ")
-        wide = F.when(F.octet_length(body) > F.length(body), F.length(body) - F.length(F.regexp_replace(body, WIDE, ""))).otherwise(0)
         tokens = F.size(F.split(F.rtrim(record, F.lit(" \n")), " ", -1))
-        weight = F.size(F.split(body, " ", -1)) + F.floor(wide / 2).cast("int")
-        return F.struct(i.alias("i"), body.alias("body"), weight.alias("weight"), (tokens < MANY_TOKENS).alias("short"))
+        return F.struct(i.alias("i"), body.alias("body"), (tokens < MANY_TOKENS).alias("short"))
+
+    def weight(body: Column) -> Column:
+        wide = F.when(F.octet_length(body) > F.length(body), F.length(body) - F.length(F.regexp_replace(body, WIDE, ""))).otherwise(0)
+        return F.size(F.split(body, " ", -1)) + F.floor(wide / 2).cast("int")
 
-    return F.filter(F.transform(all_records, one), lambda x: x["body"] != "")
+    there = F.filter(F.transform(all_records, words), lambda x: x["body"] != "")
+    hashed = lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["body"]).alias("body"), weight(x["body"]).alias("weight"), x["short"].alias("short"))
+    return F.transform(there, hashed)
 
 
-def _runs(text: Column) -> Column:
-    """``i`` and ``runs`` (hashes) of every short record of a text."""
+def _runs(xs: Column, own: Column) -> Column:
+    """``i`` and ``runs`` (hashes) of every short record whose ``body`` is in ``own``."""
 
-    def reached(side: Column) -> Column:
-        """How many records from the first of ``side`` weigh ``RUN``; null if all don't."""
+    def run(side: Column, back: bool) -> Column:
+        """Hash of the first records of ``side`` that weigh ``RUN`` together, null if all don't; a condition, since a hash of a
+        null is a number."""
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("w"))
         more = lambda acc, x: F.when(acc["w"] >= RUN, acc).otherwise(F.struct((acc["n"] + 1).alias("n"), (acc["w"] + x["weight"]).alias("w")))
-        return F.aggregate(side, start, more, lambda acc: F.when(acc["w"] >= RUN, acc["n"]))
-
-    def of(xs: Column) -> Column:
-        def one(x: Column, at: Column) -> Column:
-            first = F.greatest(at + 2 - RUN, F.lit(1))
-            onwards = F.slice(xs, at + 1, F.lit(RUN))
-            back = F.reverse(F.slice(xs, first, at + 2 - first))
-            hashed = lambda side: F.xxhash64(F.transform(side, lambda y: y["body"]))
-            # Conditions, since a hash of a null is a number.
-            ahead = F.when(reached(onwards).isNotNull(), hashed(F.slice(onwards, F.lit(1), F.coalesce(reached(onwards), F.lit(0)))))
-            behind = F.when(reached(back).isNotNull(), hashed(F.reverse(F.slice(back, F.lit(1), F.coalesce(reached(back), F.lit(0))))))
-            return F.when(x["short"], F.struct(x["i"].alias("i"), F.array_compact(F.array(ahead, behind)).alias("runs")))
+        bodies = lambda n: F.transform(F.slice(side, F.lit(1), n), lambda y: y["body"])
+        found = lambda n: F.xxhash64(F.reverse(bodies(n)) if back else bodies(n))
+        return F.aggregate(side, start, more, lambda acc: F.when(acc["w"] >= RUN, found(acc["n"])))
 
-        return F.filter(F.transform(xs, one), lambda x: x.isNotNull() & (F.size(x["runs"]) > 0))
+    def one(x: Column, at: Column) -> Column:
+        first = F.greatest(at + 2 - RUN, F.lit(1))
+        ahead = run(F.slice(xs, at + 1, F.lit(RUN)), False)
+        behind = run(F.reverse(F.slice(xs, first, at + 2 - first)), True)
+        runs = F.array_compact(F.array(ahead, behind))
+        return F.when(x["short"] & F.array_contains(own, x["body"]), F.struct(x["i"].alias("i"), runs.alias("runs")))
 
-    return F.get(F.transform(F.array(_weighed(records(text, STOPS))), of), F.lit(0))
+    return F.filter(F.transform(xs, one), lambda x: x.isNotNull() & (F.size(x["runs"]) > 0))
 
 
 def dropped_runs(df: DataFrame, text: str = "text") -> DataFrame:
-    """``text_key`` and ``places``, the short records that a text loses since their runs recur, for every text that loses some."""
-    rows = df.filter(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("text_key"), F.explode(_runs(F.col(text))).alias("x"))
-    rows = common.written(rows.select("text_key", F.col("x.i").alias("i"), F.explode("x.runs").alias("run")), "runs")
-    count = rows.groupBy("run").agg(F.min("text_key").alias("kept"), F.max("text_key").alias("other"))
+    """``text_key`` and ``places``, the short records that a text loses since their runs recur, for every text that loses some.
+
+    A run recurs only if its short record is in two texts, so runs are built for those records alone."""
+    rows = df.filter(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("text_key"), _weighed(records(F.col(text), STOPS)).alias("xs"))
+    rows = common.written(rows, "weighed")
+    short = F.transform(F.filter("xs", lambda x: x["short"]), lambda x: x["body"])
+    own = rows.select("text_key", F.explode(F.array_distinct(short)).alias("body"))
+    in_two = own.groupBy("body").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high")).filter("low < high").select("body")
+    in_two = common.written(in_two, "in_two")  # so that the join may split a record
+    own = own.join(in_two, "body").distinct().groupBy("text_key").agg(F.collect_list("body").alias("own"))
+    runs = rows.join(own.hint("merge"), "text_key").select("text_key", F.explode(_runs(F.col("xs"), F.col("own"))).alias("x"))
+    runs = common.written(runs.select("text_key", F.col("x.i").alias("i"), F.explode("x.runs").alias("run")), "runs")
+    count = runs.groupBy("run").agg(F.min("text_key").alias("kept"), F.max("text_key").alias("other"))
     count = common.written(count.filter("kept < other").select("run", "kept"), "recurring")  # so that the join may split a run
-    lost = rows.join(count, "run").filter("text_key <> kept")
-    return lost.groupBy("text_key").agg(F.collect_set("i").alias("places"))
+    lost = runs.join(count, "run").filter("text_key <> kept").select("text_key", "i").distinct()
+    return lost.groupBy("text_key").agg(F.collect_list("i").alias("places"))
 
 
 def _split(df: DataFrame, text: str, runs: bool = False) -> DataFrame:
