@@ -267,32 +267,32 @@ def _blocks(of: Column | bool = True) -> Column:
 def _cluster_links(sets: DataFrame, clusters: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """``a``, ``b``: links that connect what a Jaccard join of each cluster connects.
 
-    Every block is joined with itself and with its cluster's pivots, which connects most of a large group of near
-    copies. Connected sets need no comparison: what is left to join are the sets outside the cluster's
-    largest component, with each other and with those inside. A set inside goes to the blocks of outside sets alone.
+    Every block is joined with itself and with its cluster's pivots, and says which sets that connects with which
+    pivot. Sets connected with one pivot need no comparison: what is left to join are the sets outside the pivot with
+    most, with each other and with those inside. A set inside goes to the blocks of outside sets alone.
     """
     sizes = sets.select("set_id", F.size("shingles").cast("long").alias("n")).distinct()
     placed = clusters.withColumnRenamed("node", "set_id").join(sizes, "set_id")
     pivots = F.array(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(i))) for i in range(PIVOTS)])
     cut = placed.groupBy("root").agg(_blocks().alias("blocks"), pivots.alias("pivots"))
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    pivot = F.array_contains("pivots", F.col("set_id"))
+    pivot = (F.col("blocks") > 1) & F.array_contains("pivots", F.col("set_id"))
     dealt = placed.join(cut, "root").select("root", "set_id", "n", "blocks", own.alias("own"), pivot.alias("pivot"))
     dealt = common.written(dealt, "blocks")
     at = F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))).alias("i")
-    near = _joined(sets, dealt.select("root", "set_id", F.lit(False).alias("second"), at).withColumn("j", F.col("i")), similarity)
-    large = dealt.filter("blocks > 1").select("root", "set_id", "n")
-    if large.isEmpty():
-        return near
+    near = _joined(sets, dealt.select("root", "set_id", F.col("pivot").alias("marked"), at).withColumn("j", F.col("i")), similarity)
     near = common.written(near, "near")
-    connected = components(near).select(F.col("node").alias("set_id"), F.col("root").alias("component"))
-    component = F.coalesce("component", "set_id").alias("component")
-    large = common.written(large.join(connected, "set_id", "left").select("root", "set_id", "n", component), "connected")
-    counts = large.groupBy("root", "component").agg(F.count("*").alias("sets"), F.sum("n").alias("n"))
-    largest = counts.groupBy("root").agg(F.max_by("component", F.struct("sets", "component")).alias("largest"))
-    large = large.join(largest, "root").withColumn("outside", F.col("component") != F.col("largest"))
+    links = near.select("a", "b")
+    inside = near.filter("root is not null").select("root", F.col("a").alias("set_id"), F.col("b").alias("pivot")).distinct()
+    most = inside.groupBy("root", "pivot").agg(F.count("*").alias("sets")).groupBy("root")
+    most = most.agg(F.max_by("pivot", F.struct("sets", "pivot")).alias("pivot"))
+    inside = inside.join(most, ["root", "pivot"]).select("root", "set_id", F.lit(False).alias("outside"))
+    large = dealt.filter("blocks > 1").select("root", "set_id", "n").join(inside, ["root", "set_id"], "left")
+    large = common.written(large.withColumn("outside", F.coalesce("outside", F.lit(True))), "connected")
     cut = large.groupBy("root").agg(_blocks(~F.col("outside")).alias("inner"), _blocks(F.col("outside")).alias("outer")).filter("outer > 0")
     cut = common.written(cut, "outside")
+    if cut.isEmpty():
+        return links
     hashed = F.xxhash64("set_id")
     own = F.when(F.col("outside"), F.col("inner") + F.pmod(hashed, F.col("outer"))).otherwise(F.pmod(hashed, F.col("inner"))).cast("int")
     others = F.sequence(F.when(F.col("outside"), 0).otherwise(F.col("inner")), F.col("inner") + F.col("outer") - 1)
@@ -300,17 +300,21 @@ def _cluster_links(sets: DataFrame, clusters: DataFrame, similarity: tuple[int,
     far = left.select(
         "root",
         "set_id",
-        (F.col("own") > F.col("other")).alias("second"),
+        (F.col("own") > F.col("other")).alias("marked"),
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
     )
-    return near.union(_joined(sets, far, similarity))
+    return links.union(_joined(sets, far, similarity).select("a", "b"))
 
 
 def _joined(sets: DataFrame, dealt: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``a``, ``b``: links that span what each pair of blocks (``root``, ``i``, ``j``) connects."""
+    """``a``, ``b``: links that span what each pair of blocks (``root``, ``i``, ``j``) connects.
+
+    In a pair of two blocks, ``marked`` are the sets of the second. In a block with itself they are pivots, and every set
+    that is connected with one (the pivot, too) has a link to it with the cluster's ``root``, which other links lack.
+    """
     pairs = sets.join(dealt.hint("merge"), "set_id").select(
-        F.xxhash64("root", "i", "j").alias("pair"), "root", "i", "j", "set_id", "shingles", "second"
+        F.xxhash64("root", "i", "j").alias("pair"), "root", "i", "j", "set_id", "shingles", "marked"
     )
     n = common.partitions(sets.sparkSession)
     pairs = pairs.repartition(n, "pair").sortWithinPartitions("pair", "root", "i", "j")
@@ -321,13 +325,34 @@ def _joined(sets: DataFrame, dealt: DataFrame, similarity: tuple[int, int]) -> D
             values = members.column("shingles").combine_chunks()
             flat = values.flatten().to_numpy(zero_copy_only=False)
             n = np.diff(values.offsets.to_numpy())
-            second = members.column("second").to_numpy(zero_copy_only=False).astype(bool)
-            found = spanning_links(flat, n, second if group[2] != group[3] else None, similarity)
-            if len(found):
-                a, b = (pa.array(ids[[x[k] for x in found]]) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
-
-    return pairs.mapInArrow(run, "a long, b long")
+            marked = members.column("marked").to_numpy(zero_copy_only=False).astype(bool)
+            one = group[2] == group[3]
+            found = spanning_links(flat, n, None if one else marked, similarity)
+            links = np.array(found, np.int64).reshape(-1, 2)
+            stars = _stars(links, len(ids), np.flatnonzero(marked)) if one else links[:0]
+            both = np.concatenate([links, stars])
+            if len(both):
+                root = pa.array(np.full(len(both), group[1]), mask=np.arange(len(both)) < len(links))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[both[:, 0]]), pa.array(ids[both[:, 1]]), root], ["a", "b", "root"])
+
+    return pairs.mapInArrow(run, "a long, b long, root long")
+
+
+def _stars(links: np.ndarray, n: int, pivots: np.ndarray) -> np.ndarray:
+    """Pairs of each of ``n`` sets and each pivot that ``links`` connect it with, pivots with themselves included."""
+    neighbours: list[list[int]] = [[] for _ in range(n)]
+    for a, b in links.tolist():
+        neighbours[a].append(b)
+        neighbours[b].append(a)
+    out = []
+    for pivot in pivots.tolist():
+        seen, stack = {pivot}, [pivot]
+        while stack:
+            new = [x for x in neighbours[stack.pop()] if x not in seen]
+            seen.update(new)
+            stack += new
+        out += [(x, pivot) for x in seen]
+    return np.array(out, np.int64).reshape(-1, 2)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, pa.Table]]:

@@ -117,4 +117,4 @@ def test_a_group_of_near_copies_takes_no_pairs_of_blocks(docs, monkeypatch):
     got = op3_jaccard_join.jaccard_components(docs(rows)).collect()
     assert {r.component_id for r in got} == {0}
     blocks = 64 // setjoin.BLOCK_SETS
-    assert joined[0] <= 64 + setjoin.PIVOTS * blocks and joined[1:] == [0]
+    assert joined[0] <= 64 + setjoin.PIVOTS * blocks and sum(joined[1:]) == 0
