@@ -23,11 +23,11 @@ _STEPS = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], np.uint64)
 @cache
 def _classes() -> np.ndarray:
     """The class of every code point."""
-    every = [chr(c) for c in range(0x110000)]
-    out = np.full(len(every), OTHER, np.uint8)
-    text = "".join(c for c in every if not "\ud800" <= c <= "\udfff")
-    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\p{White_Space}")):
-        out[[ord(c) for c in regex.findall(pattern, text)]] = kind
+    out = np.full(0x110000, OTHER, np.uint8)
+    for plane in range(0, len(out), 1 << 16):  # one by one, for a worker's memory
+        text = "".join(chr(c) for c in range(plane, plane + (1 << 16)) if not 0xD800 <= c <= 0xDFFF)
+        for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\p{White_Space}")):
+            out[[ord(c) for c in regex.findall(pattern, text)]] = kind
     return out
 
 
