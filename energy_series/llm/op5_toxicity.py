@@ -134,7 +134,11 @@ class Model:
     def word_margins(self, some: list[str]) -> np.ndarray:
         """The worst piece of each word."""
         cut = [pieces(w) for w in some]
-        margin = self.landmarks.kernel([p for c in cut for p in c]) @ self.weights + self.bias
+        strings = [p for c in cut for p in c]
+        kernel = np.empty((len(strings), len(self.landmarks.strings)))
+        for i in range(0, len(strings), MANY):  # a string's triples take far more than its row
+            kernel[i : i + MANY] = self.landmarks.kernel(strings[i : i + MANY])
+        margin = kernel @ self.weights + self.bias
         starts = np.cumsum([0, *map(len, cut)])[:-1]
         return np.maximum.reduceat(margin, starts) if len(margin) else margin
 

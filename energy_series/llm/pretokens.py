@@ -17,6 +17,7 @@ from .shingles import mix, powers
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 KNOWN = 1 << 21  # pre-tokens that a worker remembers at a time; others are worked out again
+HASHED = 1 << 16  # code points that are hashed at a time
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], np.uint64)
 
 
@@ -40,7 +41,7 @@ class Cut:
         sizes = np.array([len(t) for t in texts], np.int64)
         self.points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
         ends = np.cumsum(sizes)
-        kind = _classes()[self.points] if spaced is not None else np.where(self.points == 32, SPACE, LETTER).astype(np.uint8)
+        kind = _classes()[self.points] if spaced is not None else np.where(self.points == 32, np.uint8(SPACE), np.uint8(LETTER))
         starts = self._starts(kind, (ends - sizes)[sizes > 0], spaced)
         at = np.flatnonzero(starts)
         stop = np.append(at[1:], len(kind)) if len(at) else at
@@ -91,13 +92,19 @@ class Cut:
         if not len(sizes):
             return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         firsts = np.cumsum(sizes) - sizes
-        local = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
-        points = self.points if len(local) == len(self.points) else self.points[local + np.repeat(self.begin, sizes)]
         longest = int(sizes.max())
-        found = []
-        for step in _STEPS:
-            value = (points + np.uint64(1)) * powers(step, longest + 1)[local + 1]
-            found.append(mix(np.add.reduceat(value, firsts) + sizes.astype(np.uint64)))
+        scale = [powers(step, longest + 1)[1:] for step in _STEPS]
+        found = [np.empty(len(sizes), np.uint64) for _ in _STEPS]
+        # Some pre-tokens at a time: of one code point the arrays here take many bytes.
+        cuts = np.searchsorted(firsts, np.arange(0, int(firsts[-1]) + 1, HASHED)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(sizes)], strict=True):
+            if a == b:
+                continue
+            n, first = sizes[a:b], firsts[a:b] - firsts[a]
+            local = np.arange(int(n.sum())) - np.repeat(first, n)
+            points = self.points[local + np.repeat(self.begin[a:b], n)] + np.uint64(1)
+            for out, some in zip(found, scale, strict=True):
+                out[a:b] = mix(np.add.reduceat(points * some[local], first) + n.astype(np.uint64))
         return found[0], found[1]
 
     def strings(self, which: np.ndarray) -> list[str]:
